@@ -321,17 +321,28 @@ def all_records(files: DataFrame, indicator: str) -> DataFrame:
     return RECORDS[spec_for(indicator).name](files)
 
 
-def split(records: DataFrame, indicator: str) -> Parsed:
-    """Split records by kind. Rows keep their position for a deterministic de-duplication."""
-    payload = [name for name in records.columns if name not in (*POSITION, "kind", "indicator", "raw", "reason")]
-    of_kind = lambda kind: records.filter(F.col("kind") == kind)
+def split(records: DataFrame, staged: bool = True) -> Parsed:
+    """Split records by kind. Rows keep their position for a deterministic de-duplication.
+
+    Staged records are filtered plainly, which reaches the file scan. Over an unstaged plan
+    a filter on ``kind`` would be pushed below the projections that type an entry, and every
+    entry would be typed twice; exploding one-or-no structs keeps it above them.
+    """
+    typed = [name for name in records.columns if name not in (*POSITION, "kind", "indicator", "raw", "reason")]
+
+    def of_kind(kind: str, *columns: str) -> DataFrame:
+        chosen = F.col("kind") == kind
+        if staged:
+            return records.filter(chosen).select(*columns)
+        return records.select(F.inline(F.when(chosen, F.array(F.struct(*columns)))))
+
     return Parsed(
-        rows=of_kind(ROW).select(*payload, *POSITION),
-        quarantined=of_kind(QUARANTINE).select("raw", "indicator", "reason"),
-        unusable=of_kind(UNUSABLE).select("file", F.col("reason").alias("problem")),
+        rows=of_kind(ROW, *typed, *POSITION),
+        quarantined=of_kind(QUARANTINE, "raw", "indicator", "reason"),
+        unusable=of_kind(UNUSABLE, "file", "reason").withColumnRenamed("reason", "problem"),
     )
 
 
 def parse(files: DataFrame, indicator: str) -> Parsed:
-    """Parse envelopes of one indicator; an unknown indicator is an error."""
-    return split(all_records(files, indicator), indicator)
+    """Parse envelopes of one indicator lazily; an unknown indicator is an error."""
+    return split(all_records(files, indicator), staged=False)

@@ -60,7 +60,7 @@ def load_indicator(
         found = {row["kind"]: row["count"] for row in records.groupBy("kind").count().collect()}
         counts = {kind: found.get(kind, 0) for kind in (ROW, QUARANTINE, UNUSABLE)}
         logger.info("%s: %s", indicator, counts)
-        parsed = split(records, indicator)
+        parsed = split(records)
         if counts[UNUSABLE]:
             shown = parsed.unusable.orderBy("file", "problem").limit(_SHOWN_FILES).collect()
             raise UnusableFiles(indicator, counts[UNUSABLE], [tuple(row) for row in shown])

@@ -12,6 +12,7 @@ from gridmetrics.functions.dates import year_month
 from gridmetrics.operators import checks, grain, marts, measures, merge, parse, reports, star, work_plan
 from gridmetrics.operators.calendar import calendar, date_bounds
 from gridmetrics.session import configure
+from gridmetrics.sources.landing import without_bom
 from gridmetrics.spec import DEMAND, GENERATION, PRICES
 from workload import envelopes, standins
 
@@ -93,13 +94,13 @@ def quarantine_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def parse_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = parse.parse(envelopes.price_days(spark, sf_dir), PRICES).rows
+    rows = parse.parse(without_bom(envelopes.price_days(spark, sf_dir)), PRICES).rows
     return naive(rows.select("datetime_utc", "series", "value", "period_minutes"), "datetime_utc")
 
 
 @query
 def quarantine_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rejected = parse.parse(envelopes.price_days(spark, sf_dir), PRICES).quarantined
+    rejected = parse.parse(without_bom(envelopes.price_days(spark, sf_dir)), PRICES).quarantined
     return rejected.groupBy("indicator", "reason").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
