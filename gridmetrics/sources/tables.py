@@ -26,16 +26,26 @@ def ensure_namespace(spark: SparkSession, table: str) -> None:
 
 
 def ensure_table(spark: SparkSession, table: str, schema: str, monthly: bool = False) -> None:
-    """Create an empty typed table if there is none, so that later scans always succeed."""
+    """Create an empty typed table if there is none, so that later scans always succeed.
+
+    The overwrite mode belongs to a monthly table itself: whatever the session says, an
+    overwrite replaces the months it writes and never the whole table.
+    """
     ensure_namespace(spark, table)
     columns = f"{schema}, {MONTH} STRING" if monthly else schema
-    partitioned = f"PARTITIONED BY ({MONTH})" if monthly else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING PARQUET {partitioned}")
+    layout = f"OPTIONS ('partitionOverwriteMode' 'dynamic') PARTITIONED BY ({MONTH})" if monthly else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING PARQUET {layout}")
+
+
+def _current(spark: SparkSession, table: str) -> DataFrame:
+    """Scan by name with a fresh file listing: another session may have replaced months."""
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
     """Scan by name without the storage partition column."""
-    return spark.table(table).drop(MONTH)
+    return _current(spark, table).drop(MONTH)
 
 
 def append(spark: SparkSession, table: str, df: DataFrame) -> None:
@@ -44,7 +54,7 @@ def append(spark: SparkSession, table: str, df: DataFrame) -> None:
 
 def append_new(spark: SparkSession, table: str, df: DataFrame, identity: Sequence[str]) -> None:
     """Append only rows not yet present under ``identity``: re-runs add nothing."""
-    append(spark, table, new_only(df, spark.table(table), identity))
+    append(spark, table, new_only(df, _current(spark, table), identity))
 
 
 def _replace_months(spark: SparkSession, table: str, df: DataFrame) -> None:
@@ -57,7 +67,6 @@ def _replace_months(spark: SparkSession, table: str, df: DataFrame) -> None:
         df.select(*spark.table(table).columns)
         .hint("rebalance", F.col(MONTH))
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
         .insertInto(table)
     )
 
@@ -79,13 +88,13 @@ def upsert(spark: SparkSession, table: str, batch: DataFrame, key: Sequence[str]
     with staged(unique.select(*spark.table(table).columns)) as new:
         months = _months(new)
         if months:
-            target = spark.table(table).filter(F.col(MONTH).isin(months))
+            target = _current(spark, table).filter(F.col(MONTH).isin(months))
             _replace_months(spark, table, merge_by_key(target, new, [*key, MONTH]))
 
 
 def delete_rows(spark: SparkSession, table: str, predicate: Column) -> None:
     """Delete matching rows by rewriting the months that hold any."""
-    touched = _months(spark.table(table).filter(predicate))
+    touched = _months(_current(spark, table).filter(predicate))
     if not touched:
         return
     kept = delete_where(spark.table(table).filter(F.col(MONTH).isin(touched)), predicate)
@@ -98,7 +107,7 @@ def delete_rows(spark: SparkSession, table: str, predicate: Column) -> None:
 
 def compact(spark: SparkSession, table: str, months: Sequence[str] | None = None) -> None:
     """Rewrite months into well-sized files; row content is unchanged."""
-    rows = spark.table(table)
+    rows = _current(spark, table)
     _replace_months(spark, table, rows if months is None else rows.filter(F.col(MONTH).isin(list(months))))
 
 
