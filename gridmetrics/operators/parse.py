@@ -57,50 +57,32 @@ def _each(array: str) -> Column:
 
 
 def explode_series(files: DataFrame) -> DataFrame:
-    """``(file, value)`` -> one row per series with its attributes as JSON text.
+    """``(file, value)`` -> one row per series: its text, decoded head and raw entries.
 
     ``problem`` is set where the file as a whole is unusable: no ``included`` list, a series
     that is not an object, or attributes that are present but not an object. Absent
-    attributes are an empty object.
+    attributes are an empty object. ``head`` has the variant title, type and flag and the
+    entries as JSON texts; entries are NULL where ``values`` is absent or not a list, so such
+    a series has no record. An unusable file gets one stand-in entry to carry its problem.
     """
     included = F.from_json("value", "included array<string>")["included"]
     series = files.select(
-        "file",
-        F.posexplode(F.coalesce(included, _stand_in())).alias(
-            "series_pos", "series"
-        ),
+        "file", F.posexplode(F.coalesce(included, _stand_in())).alias("series_pos", "series")
     )
-    attributes = F.from_json("series", "attributes string")["attributes"]
-    series = series.withColumn("attributes", attributes)
-    is_object = F.coalesce(F.col("series").startswith("{"), F.lit(False))
-    has_attributes = F.coalesce(F.col("attributes").startswith("{"), F.lit(False))
-    absent = F.col("attributes").isNull() & ~F.array_contains(
-        F.json_object_keys("series"), "attributes"
+    head = F.from_json(
+        "series",
+        "attributes struct<title variant, type variant, composite variant, values array<string>>",
+    )["attributes"]
+    series = series.withColumn("head", head)
+    text = F.col("series")
+    present = F.array_contains(F.json_object_keys(text), "attributes")
+    problem = (
+        F.when(text.isNull(), "no 'included' series array")
+        .when(~text.startswith("{"), "series is not an object")
+        .when(F.col("head").isNull() & present, "series attributes are not an object")
     )
-    return series.select(
-        "file",
-        "series_pos",
-        F.when(has_attributes, F.col("attributes")).when(is_object & absent, "{}").alias("attributes"),
-        F.when(F.col("series").isNull(), "no 'included' series array")
-        .when(~is_object, "series is not an object")
-        .when(~has_attributes & ~F.coalesce(absent, F.lit(False)), "series attributes are not an object")
-        .alias("problem"),
-    )
-
-
-def with_head(series: DataFrame) -> DataFrame:
-    """Add the variant title, type and flag of each series and its raw entries.
-
-    ``entries`` is NULL where ``values`` is absent or not a list: such a series has no
-    entries and no record. An unusable file gets one stand-in entry to carry its problem.
-    """
-    return series.withColumn(
-        "head", F.from_json("attributes", "title variant, type variant, composite variant")
-    ).withColumn(
-        "entries",
-        F.when(F.col("problem").isNotNull(), _stand_in()).otherwise(
-            F.from_json("attributes", "values array<string>")["values"]
-        ),
+    return series.withColumn("problem", problem).withColumn(
+        "entries", F.when(F.col("problem").isNull(), F.col("head")["values"]).otherwise(_stand_in())
     )
 
 
@@ -206,7 +188,7 @@ def _records(
 
 def demand_records(files: DataFrame) -> DataFrame:
     """Every entry of every series, keyed on the civil date it states."""
-    series = with_head(explode_series(files))
+    series = explode_series(files)
     entries = _explode_entries(series, ["file", "series_pos", "problem"])
     x = F.col("x")
     return _records(entries, DEMAND, date=x["day"], value=x["number"])
@@ -216,7 +198,7 @@ def generation_series(files: DataFrame) -> DataFrame:
     """Series with their triage: aggregate, technology or unknown."""
     head = F.col("head")
     title = json_values.text_or_null(head.title)
-    return with_head(explode_series(files)).withColumns(
+    return explode_series(files).withColumns(
         {
             "technology": title,
             "triage": F.when(is_aggregate(head), "aggregate")
@@ -238,7 +220,9 @@ def generation_records(files: DataFrame) -> DataFrame:
     # Only a rejected series carries its text through the explode.
     series = generation_series(files).withColumns(
         {
-            "rejected_raw": F.when(unknown, F.col("attributes")),
+            "rejected_raw": F.when(
+                unknown, F.coalesce(F.get_json_object("series", "$.attributes"), F.lit("{}"))
+            ),
             "rejected_reason": F.when(
                 unknown,
                 F.concat(
@@ -274,7 +258,7 @@ def price_records(files: DataFrame) -> DataFrame:
 
     Only entries that type feed the grain. A series without a string title is skipped.
     """
-    series = with_head(explode_series(files)).withColumn(
+    series = explode_series(files).withColumn(
         "series", json_values.text_or_null(F.col("head").title)
     )
     # Untitled series lose their entries instead of being filtered: a filter would be pushed

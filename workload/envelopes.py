@@ -83,7 +83,7 @@ def demand_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit(',"datetime":"'), civil_midnight(day), F.lit('"')))
     )
     return table_rows(
-        standins.table(spark, sf_dir, "orders"),
+        standins.spread(standins.table(spark, sf_dir, "orders")),
         F.concat(F.lit("order-"), "o_orderkey"),
         F.concat(
             F.lit('{"included":[{"type":"Demanda","attributes":{"title":"Demanda","values":[{"value":'),
@@ -94,7 +94,7 @@ def demand_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def generation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file per line item: its own series, typed by the return flag, and an aggregate."""
-    lines = standins.shipped(spark, sf_dir)
+    lines = standins.shipped(spark, sf_dir, spread_out=True)
     flag = F.col("l_returnflag")
     kind = F.when(flag == "R", "Renovable").when(flag == "A", " NO-RENOVABLE ").otherwise("Almacenamiento")
     amount = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")

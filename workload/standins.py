@@ -20,6 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Rows of a scan that has fewer splits than the cluster has cores, dealt out evenly.
+
+    For work that is heavy per row. A table large enough to fill the cluster is left alone.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def exact_sum(column: str):
     return F.sum(F.col(column).cast("decimal(18,2)")).cast("double")
 
@@ -32,12 +41,14 @@ def demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+def shipped(spark: SparkSession, sf_dir: str, spread_out: bool = False) -> DataFrame:
     """Line items with the technology of their part."""
+    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(lines) if spread_out else lines
     parts = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), "p_brand", F.col("p_type").alias("technology")
     )
-    return table(spark, sf_dir, "lineitem").join(parts, "l_partkey")
+    return lines.join(parts, "l_partkey")
 
 
 def generation(spark: SparkSession, sf_dir: str) -> DataFrame:
