@@ -153,14 +153,12 @@ def table_verdicts(df: DataFrame, rules: TableRules, floor: date, baseline: Data
         F.count_if(F.expr(rules.out_of_range)).alias("_bad"),
         F.max(F.expr(rules.date_expr)).alias("_newest"),
         *[F.count_if(F.col(name).isNull()).alias(alias) for name, alias in nulls.items()],
-    ).withColumn("_table", F.lit(rules.table))
-    if baseline is None:
-        facts = facts.withColumn("_previous", F.lit(0).cast("long"))
-    else:
-        known = baseline.select(F.col("table").alias("_table"), F.col("previous").alias("_previous"))
-        facts = facts.join(known, "_table", "left").withColumn(
-            "_previous", F.coalesce("_previous", F.lit(0))
-        )
+    )
+    previous = F.lit(0).cast("long")
+    if baseline is not None:
+        own = baseline.filter(F.col("table") == rules.table)
+        previous = F.coalesce(own.select(F.max("previous")).scalar(), previous)
+    facts = facts.withColumn("_previous", previous)
     n = F.col("_n")
     rows = [
         row_count(rules.table, n),

@@ -17,6 +17,20 @@ def shared_folder(spark: SparkSession) -> str:
     return named or spark.conf.get("spark.sql.warehouse.dir")
 
 
+def written(df: DataFrame, name: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and hand back a scan of the files.
+
+    For results that several branches of one plan read: the work above is done once, the
+    scan has exact sizes for choosing joins, and a lost executor only re-reads files. The
+    files stay for the life of the application; a name written again is replaced.
+    """
+    spark = df.sparkSession
+    folder = f"{shared_folder(spark).rstrip('/')}/{_DATABASE}/{spark.sparkContext.applicationId}"
+    path = f"{folder}/{name or uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def staged(df: DataFrame) -> Iterator[DataFrame]:
     """Write ``df`` once and hand back a scan of it.

@@ -13,6 +13,7 @@ from gridmetrics.operators import checks, grain, marts, measures, merge, parse,
 from gridmetrics.operators.calendar import calendar, date_bounds
 from gridmetrics.session import configure
 from gridmetrics.sources.landing import without_bom
+from gridmetrics.sources.staging import written
 from gridmetrics.spec import DEMAND, GENERATION, PRICES
 from workload import envelopes, standins
 
@@ -111,14 +112,10 @@ def unusable_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def mv_renewables_share_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagship: monthly files -> parse and triage -> star -> monthly share."""
-    rows = parse.parse(envelopes.generation_months(spark, sf_dir), GENERATION).rows
-    technologies = parse.generation_series(envelopes.generation_months(spark, sf_dir)).filter(
-        "triage = 'technology'"
-    )
-    return marts.monthly_renewables_share(
-        star.fact_generation(rows), star.dim_technology(technologies)
-    )
+    """Flagship: monthly files -> parse and triage -> silver rows -> star -> monthly share."""
+    parsed = parse.parse(envelopes.generation_months(spark, sf_dir), GENERATION).rows
+    rows = written(parsed.select("date", "technology", "is_renewable", "value"))
+    return marts.monthly_renewables_share(star.fact_generation(rows), star.dim_technology(rows))
 
 
 @query

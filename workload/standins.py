@@ -1,5 +1,9 @@
 """The silver tables, derived from the test tables.
 
+Demand and generation are written once per session and scanned by every query after that,
+as silver tables are; they hold one row per day (times part type). Prices are a projection of
+the events and are read in place.
+
 Money columns have two decimals; they are summed as decimals so that a total does not depend
 on the order in which rows arrive.
 """
@@ -10,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmetrics.operators.star import Star, star
+from gridmetrics.sources.staging import written
 
 RENEWABLE = ("ECONOMY", "PROMO", "SMALL")
 # The events are from January 2024; moved by whole days they overlap the other tables' end.
@@ -33,8 +38,28 @@ def exact_sum(column: str):
     return F.sum(F.col(column).cast("decimal(18,2)")).cast("double")
 
 
+_WRITTEN: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def silver(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """The written table ``name``, built on first use in this application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _WRITTEN:
+        _WRITTEN[key] = written(build(spark, sf_dir), f"{sf_dir.strip('/').replace('/', '_')}_{name}")
+    return _WRITTEN[key]
+
+
 def demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``date, value``: ordered value per day."""
+    return silver(spark, sf_dir, "demand", build_demand)
+
+
+def generation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``date, technology, is_renewable, value``: shipped value per day and part type."""
+    return silver(spark, sf_dir, "generation", build_generation)
+
+
+def build_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     return orders.groupBy(F.to_date("o_orderdate").alias("date")).agg(
         exact_sum("o_totalprice").alias("value")
@@ -51,8 +76,7 @@ def shipped(spark: SparkSession, sf_dir: str, spread_out: bool = False) -> DataF
     return lines.join(parts, "l_partkey")
 
 
-def generation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``date, technology, is_renewable, value``: shipped value per day and part type."""
+def build_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = shipped(spark, sf_dir).groupBy(F.to_date("l_shipdate").alias("date"), "technology")
     return daily.agg(exact_sum("l_extendedprice").alias("value")).select(
         "date", "technology", F.col("technology").isin(*RENEWABLE).alias("is_renewable"), "value"
