@@ -22,16 +22,21 @@ class Star(NamedTuple):
     dim_technology: DataFrame
 
 
-def fact_demand(silver_demand: DataFrame) -> DataFrame:
-    return silver_demand.select("date", F.col("value").alias("demand_mwh"))
+# ``kept`` names storage columns to carry along, such as a partition column.
 
 
-def fact_generation(silver_generation: DataFrame) -> DataFrame:
+def fact_demand(silver_demand: DataFrame, *kept: str) -> DataFrame:
+    return silver_demand.select("date", F.col("value").alias("demand_mwh"), *kept)
+
+
+def fact_generation(silver_generation: DataFrame, *kept: str) -> DataFrame:
     """The renewable flag stays on the dimension."""
-    return silver_generation.select("date", "technology", F.col("value").alias("generation_mwh"))
+    return silver_generation.select(
+        "date", "technology", F.col("value").alias("generation_mwh"), *kept
+    )
 
 
-def fact_price(silver_price: DataFrame) -> DataFrame:
+def fact_price(silver_price: DataFrame, *kept: str) -> DataFrame:
     """Adds the civil day, so late-evening instants line up with the daily facts."""
     return silver_price.select(
         "datetime_utc",
@@ -39,6 +44,7 @@ def fact_price(silver_price: DataFrame) -> DataFrame:
         "series",
         "period_minutes",
         F.col("value").alias("price_eur_mwh"),
+        *kept,
     )
 
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from gridmetrics.operators import marts, star
 from gridmetrics.sources import tables
-from gridmetrics.spec import SPECS
+from gridmetrics.spec import DEMAND, GENERATION, PRICES, SPECS, spec_for
 
 logger = logging.getLogger(__name__)
 
@@ -25,15 +26,52 @@ DIM_INDICATOR = "gold.dim_indicator"
 OBJECTS = (*STAR_TABLES.values(), DIM_INDICATOR, SHARE_MART, PRICE_MART)
 
 
+# Facts are one-to-one projections of a silver table and share its monthly layout.
+FACTS = {
+    "gold.fact_demand_daily": (DEMAND, star.fact_demand),
+    "gold.fact_generation_daily": (GENERATION, star.fact_generation),
+    "gold.fact_price_hourly": (PRICES, star.fact_price),
+}
+
+
+def _fact(spark: SparkSession, table: str, months: Sequence[str] | None = None) -> DataFrame:
+    indicator, project = FACTS[table]
+    silver = tables.months_of(spark, spec_for(indicator).table, months)
+    return project(silver, tables.MONTH)
+
+
 def build_star(spark: SparkSession) -> dict[str, int]:
     """Rebuild dimensions and facts. An empty silver layer is an error before any write."""
-    lazy = star.star(*(tables.read_table(spark, spec.table) for spec in SPECS))
-    frames = {"gold.dim_date": lazy.dim_date}
-    frames.update({table: getattr(lazy, name) for name, table in STAR_TABLES.items()})
-    frames[DIM_INDICATOR] = star.dim_indicator(spark)
+    frames = {"gold.dim_date": _calendar(spark)}
+    frames.update({table: _fact(spark, table) for table in FACTS})
+    frames.update(_small_dimensions(spark))
     return _rebuild_all(spark, frames)
 
 
+def update_star(spark: SparkSession, months: Sequence[str]) -> None:
+    """Bring an existing star up to date after a load that touched only ``months``.
+
+    The facts' other months are neither read nor written; dimensions, which are small, are
+    rebuilt. The result equals :func:`build_star`.
+    """
+    _rebuild_all(spark, {"gold.dim_date": _calendar(spark)})
+    for table in FACTS:
+        tables.replace_months(spark, table, _fact(spark, table, months), months)
+    _rebuild_all(spark, _small_dimensions(spark))
+
+
+def _calendar(spark: SparkSession) -> DataFrame:
+    return star.dim_date(*(tables.read_table(spark, spec.table) for spec in SPECS))
+
+
+def _small_dimensions(spark: SparkSession) -> dict[str, DataFrame]:
+    generation = tables.read_table(spark, spec_for(GENERATION).table)
+    return {
+        "gold.dim_technology": star.dim_technology(generation),
+        DIM_INDICATOR: star.dim_indicator(spark),
+    }
+
+
 def build_marts(spark: SparkSession) -> dict[str, int]:
     """Rebuild the monthly aggregates from the star just written."""
     gold = read_star(spark)
@@ -47,12 +85,13 @@ def build_marts(spark: SparkSession) -> dict[str, int]:
 
 
 def read_star(spark: SparkSession) -> star.Star:
-    return star.Star(**{name: spark.table(table) for name, table in STAR_TABLES.items()})
+    return star.Star(**{name: tables.read_table(spark, table) for name, table in STAR_TABLES.items()})
 
 
 def _rebuild_all(spark: SparkSession, frames: dict[str, DataFrame]) -> dict[str, int]:
     counts = {}
     for table, frame in frames.items():
-        counts[table] = tables.rebuild(spark, table, frame)
+        write = tables.rebuild_monthly if tables.MONTH in frame.columns else tables.rebuild
+        counts[table] = write(spark, table, frame)
         logger.info("%s rebuilt: %d rows", table, counts[table])
     return counts

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from datetime import date
+from collections.abc import Callable, Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,9 +41,28 @@ def ingest(
     tables.upsert_watermarks(spark, work_plan.watermark_updates(feeds, last, tables.utc_now()))
 
 
-def refresh(spark: SparkSession, root: str, as_of: date | None = None) -> dict[str, int]:
-    """Load all landed files, gate, rebuild gold. A failed gate leaves gold as it was."""
+def refresh(
+    spark: SparkSession, root: str, as_of: date | None = None, months: Sequence[date] | None = None
+) -> None:
+    """Load landed files, gate, bring gold up to date. A failed gate leaves gold as it was.
+
+    With ``months`` (first days), as planned by :func:`ingest`, only those months' files are
+    read and only the table months they can touch are rewritten; otherwise everything is
+    loaded and gold is rebuilt.
+    """
     for spec in SPECS:
-        silver.load_indicator(spark, landing.read_landed(spark, root, spec.name), spec.name)
+        files = landing.read_landed(spark, root, spec.name, months)
+        silver.load_indicator(spark, files, spec.name)
     gate.run_gate(spark, "silver", as_of)
-    return {**gold.build_star(spark), **gold.build_marts(spark)}
+    if months is None or not spark.catalog.tableExists(gold.STAR_TABLES["price"]):
+        gold.build_star(spark)
+    else:
+        gold.update_star(spark, touched_months(months))
+    gold.build_marts(spark)
+
+
+def touched_months(months: Sequence[date]) -> list[str]:
+    """Storage months a file of a civil month can hold: its own, and the one before, where
+    the first local hours of a month lie in UTC."""
+    days = {m.replace(day=1) for m in months} | {m.replace(day=1) - timedelta(days=1) for m in months}
+    return sorted(f"{d:%Y-%m}" for d in days)

@@ -57,6 +57,16 @@ def append_new(spark: SparkSession, table: str, df: DataFrame, identity: Sequenc
     append(spark, table, new_only(df, _current(spark, table), identity))
 
 
+def replace_months(spark: SparkSession, table: str, df: DataFrame, months: Sequence[str]) -> None:
+    """Make ``months`` of ``table`` hold exactly the rows of ``df``, other months untouched."""
+    emptied = sorted(set(months) - set(_months(df)))
+    if len(emptied) < len(months):
+        _replace_months(spark, table, df)
+    # A dynamic overwrite leaves partitions without new rows alone; those go explicitly.
+    for month in emptied:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({MONTH} = '{month}')")
+
+
 def _replace_months(spark: SparkSession, table: str, df: DataFrame) -> None:
     """Overwrite exactly the months present in ``df``.
 
@@ -98,17 +108,18 @@ def delete_rows(spark: SparkSession, table: str, predicate: Column) -> None:
     if not touched:
         return
     kept = delete_where(spark.table(table).filter(F.col(MONTH).isin(touched)), predicate)
-    emptied = sorted(set(touched) - set(_months(kept)))
-    _replace_months(spark, table, kept)
-    # A dynamic overwrite leaves partitions without new rows alone; those go explicitly.
-    for month in emptied:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({MONTH} = '{month}')")
+    replace_months(spark, table, kept, touched)
 
 
 def compact(spark: SparkSession, table: str, months: Sequence[str] | None = None) -> None:
     """Rewrite months into well-sized files; row content is unchanged."""
+    _replace_months(spark, table, months_of(spark, table, months))
+
+
+def months_of(spark: SparkSession, table: str, months: Sequence[str] | None = None) -> DataFrame:
+    """Scan of a monthly table with its partition column, optionally only some months."""
     rows = _current(spark, table)
-    _replace_months(spark, table, rows if months is None else rows.filter(F.col(MONTH).isin(list(months))))
+    return rows if months is None else rows.filter(F.col(MONTH).isin(list(months)))
 
 
 def rebuild(spark: SparkSession, table: str, df: DataFrame) -> int:
@@ -121,12 +132,32 @@ def rebuild(spark: SparkSession, table: str, df: DataFrame) -> int:
     following = f"{table}__next"
     spark.sql(f"DROP TABLE IF EXISTS {following}")
     counted = Observation()
-    df.observe(counted, F.count(F.lit(1)).alias("n")).write.format("parquet").saveAsTable(following)
+    df.observe(counted, F.count(F.lit(1)).alias("n")).write.saveAsTable(following)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"ALTER TABLE {following} RENAME TO {table}")
     return counted.get["n"]
 
 
+def rebuild_monthly(spark: SparkSession, table: str, df: DataFrame) -> int:
+    """Replace data and schema of a monthly table and return the row count.
+
+    The months are replaced at commit, so a run that dies while writing leaves the last good
+    rows in place. Only a changed schema drops the old table first.
+    """
+    ensure_namespace(spark, table)
+    shape = lambda frame: sorted((f.name, f.dataType.simpleString()) for f in frame.schema.fields)
+    exists = spark.catalog.tableExists(table)
+    if exists and shape(spark.table(table)) != shape(df):
+        spark.sql(f"DROP TABLE {table}")
+        exists = False
+    if not exists:
+        empty = df.limit(0).write.partitionBy(MONTH).option("partitionOverwriteMode", "dynamic")
+        empty.saveAsTable(table)
+    known = _months(_current(spark, table))
+    replace_months(spark, table, df, sorted({*known, *_months(df)}))
+    return _current(spark, table).count()
+
+
 def upsert_watermarks(spark: SparkSession, updates: DataFrame) -> None:
     """Set ``last_end`` and ``updated_at`` of known indicators, insert the others."""
     ensure_table(spark, WATERMARK_TABLE, WATERMARK_SCHEMA)
