@@ -37,4 +37,4 @@ def local_session(cpus: int = 8, **extra: str) -> SparkSession:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return configure(spark)
+    return spark

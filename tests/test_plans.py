@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+import os
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from gridmetrics.operators import work_plan
+from gridmetrics.operators import checks, work_plan
 from gridmetrics.operators.calendar import explode_month_windows
 from gridmetrics.plans import gate, gold, refresh, silver
 from gridmetrics.sources import landing, tables
@@ -21,8 +23,6 @@ JANUARY = [date(2024, 1, 1) + timedelta(days=i) for i in range(31)]
 
 def land_file(root, indicator, month, payload, bom=True):
     path = landing.raw_path(str(root), indicator, month)
-    import os
-
     os.makedirs(os.path.dirname(path), exist_ok=True)
     with open(path, "w", encoding="utf-8") as out:
         out.write(("﻿" if bom else "") + json.dumps(payload, ensure_ascii=False, indent=None if bom else 1))
@@ -91,23 +91,20 @@ def test_corrupt_file_is_gated_and_gold_stays(lake, tmp_path):
         broken[i]["value"] = value
     del broken[8]["datetime"]
     land_file(tmp_path, DEMAND, JANUARY[0], envelope(series("Demanda", "Demanda", broken)))
-    run_ts = datetime(2024, 2, 1, 6)
-    found = silver.load_indicator(lake, landing.read_landed(lake, str(tmp_path), DEMAND), DEMAND)
-    assert found == {"row": 29, "quarantine": 2, "unusable": 0}
     with pytest.raises(gate.GateFailure, match=r"silver.demand_daily.value value_range: 3 rows outside \[0.0, inf\]"):
-        gate.run_gate(lake, "silver", AS_OF, run_ts)
-    stored = lake.table(VERDICT_TABLE).filter(F.col("run_ts") == F.lit(run_ts))
-    assert stored.count() == 21, "every verdict is stored before the run stops"
-    assert stored.filter("status = 'FAIL'").count() == 1
-    # The chain stops before gold.
-    with pytest.raises(gate.GateFailure):
-        refresh.refresh(lake, str(tmp_path), AS_OF)
+        refresh.refresh(lake, str(tmp_path), AS_OF, months=[date(2024, 1, 1)])
+    verdicts = lake.table(VERDICT_TABLE)
+    assert verdicts.count() == 42, "every verdict is stored before the run stops"
+    assert verdicts.filter("status = 'FAIL'").count() == 1
+    assert lake.table(QUARANTINE_TABLE).count() == 2
     assert lake.table("gold.fact_demand_daily").agg(F.sum("demand_mwh")).first()[0] == 3100.0
-    assert lake.table(QUARANTINE_TABLE).count() == 2, "the same bad records are stored once"
-    # Recovery: land the good file again and re-run.
+    # The same bad file again: nothing new in quarantine. Then the good file: green.
+    reload = lambda: silver.load_indicator(lake, landing.read_landed(lake, str(tmp_path), DEMAND), DEMAND)
+    assert reload() == {"row": 29, "quarantine": 2, "unusable": 0}
+    assert lake.table(QUARANTINE_TABLE).count() == 2
     land_january(tmp_path)
-    refresh.refresh(lake, str(tmp_path), AS_OF)
-    assert counts(lake) == COUNTS
+    assert reload() == {"row": 31, "quarantine": 0, "unusable": 0}
+    gate.run_gate(lake, "silver", AS_OF)
 
 
 def test_quarantine_can_append_repeats(lake, files):
@@ -155,22 +152,51 @@ def test_gate_rejects_an_unknown_stage(lake):
         gate.run_gate(lake, "bronze")
 
 
-def test_row_count_baseline_last_run_or_last_green(lake, tmp_path):
-    land_january(tmp_path)
-    refresh.refresh(lake, str(tmp_path), AS_OF)
-    # Most days of one technology vanish: -48 % is tolerated for a table of two, so drop demand.
-    tables.delete_rows(lake, "silver.demand_daily", F.col("date") <= F.lit(date(2024, 1, 20)))
-    for attempt in range(2):
-        try:
-            gate.run_gate(lake, "silver", AS_OF)
-            outcome = "green"
-        except gate.GateFailure as failure:
-            outcome = {r["check"] for r in failure.failed}
-        assert outcome == ({"row_count_delta"} if attempt == 0 else "green")
-    tables.delete_rows(lake, "silver.demand_daily", F.col("date") <= F.lit(date(2024, 1, 28)))
-    for _ in range(2):
-        with pytest.raises(gate.GateFailure, match="row_count_delta"):
-            gate.run_gate(lake, "silver", AS_OF, baseline="last_green")
+def test_row_count_baseline_last_run_or_last_green(spark):
+    run = lambda n: datetime(2024, 1, n)
+    history = spark.createDataFrame(
+        [
+            (run(1), "row_count", "t", "PASS", 100.0), (run(1), "freshness", "t", "PASS", 0.0),
+            (run(2), "row_count", "t", "PASS", 40.0), (run(2), "row_count_delta", "t", "FAIL", 60.0),
+        ],
+        "run_ts TIMESTAMP, check STRING, table STRING, status STRING, observed DOUBLE",
+    )
+    rules = replace(checks.SILVER_RULES[0], table="t")
+    now = spark.range(40).select(F.lit(AS_OF).alias("date"), F.lit(1.0).alias("value"))
+
+    def delta(baseline):
+        found = checks.table_verdicts(now, rules, AS_OF, baseline).filter("check = 'row_count_delta'").first()
+        return found["status"], found["details"]
+
+    # By default a failed run's count is the next baseline, so the second such run passes.
+    assert delta(checks.baselines(history)) == ("PASS", "40 -> 40 (0.00% change)")
+    assert delta(checks.baselines(history, last_green=True)) == ("FAIL", "100 -> 40 (60.00% change)")
+    assert delta(None) == ("PASS", "no baseline (first load), current=40")
+    assert delta(checks.baselines(history.filter("table = 'other'"))) == ("PASS", "no baseline (first load), current=40")
+
+
+def test_verdict_thresholds(spark):
+    def one(column):
+        row = spark.range(1).select(column.alias("v")).first()["v"]
+        return row["status"], row["observed"], row["details"]
+
+    n = lambda value: F.lit(value).cast("long")
+    assert one(checks.null_pct("t", "c", n(0), n(100))) == ("PASS", 0.0, "0/100 null (0.00%)")
+    assert one(checks.null_pct("t", "c", n(1), n(100))) == ("FAIL", 1.0, "1/100 null (1.00%)")
+    assert one(checks.null_pct("t", "c", n(0), n(0)))[:2] == ("PASS", 0.0)
+    assert one(checks.value_range("t", "c", n(3), 0.0, 4.0)) == ("FAIL", 3.0, "3 rows outside [0.0, 4.0]")
+    assert one(checks.row_count_delta("t", n(110), n(100)))[:2] == ("PASS", 10.0)
+    assert one(checks.row_count_delta("t", n(40), n(100)))[:2] == ("FAIL", 60.0)
+    assert one(checks.row_count_delta("t", n(0), n(100)))[:2] == ("FAIL", 100.0)
+    newest = lambda text: F.lit(text).cast("date")
+    assert one(checks.freshness("t", newest("2024-02-01"), AS_OF))[:2] == ("PASS", 0.0)
+    assert one(checks.freshness("t", newest("2024-02-09"), AS_OF))[:2] == ("PASS", 0.0)
+    assert one(checks.freshness("t", newest("2024-01-25"), AS_OF))[:2] == ("FAIL", 7.0)
+    assert one(checks.freshness("t", newest(None), AS_OF)) == ("FAIL", float("inf"), "table empty; expected max date >= 2024-02-01")
+    band = lambda days, extreme: one(checks.ratio_band("t", "r", n(days), F.lit(extreme).cast("double"), 0.8, 1.6))
+    assert band(0, None) == ("PASS", 0.0, "0 day(s) with r outside [0.8, 1.6]; furthest n/a")
+    assert band(26, 2.29) == ("FAIL", 2.29, "26 day(s) with r outside [0.8, 1.6]; furthest 2.29")
+    assert band(1, 0.41)[:2] == ("FAIL", 0.41)
 
 
 # --- planning -------------------------------------------------------------------------
