@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import map_rows, table
-from .training import Adam, sigmoid
+from .training import Adam, sigmoid, smallest
 
 #: Pages the labeller is fitted on at most.
 SAMPLE = 400
@@ -400,10 +400,15 @@ def train(pages: list[str], epochs: int = 6, seed: int = 3) -> Model:
 
 
 def learned(pages: DataFrame, html: str = "html", bound: int = SAMPLE) -> Model:
-    """The labeller of at most ``bound`` pages, those with the smallest hash of their content."""
-    named = pages.where(F.col(html).isNotNull()).select(F.col(html).alias("html"))
-    chosen = named.orderBy(F.xxhash64("html"), F.md5("html")).limit(bound)
-    return train([r.html for r in chosen.collect()])
+    """The labeller of at most ``bound`` pages, those with the smallest hashes of their content."""
+    named = pages.where(F.col(html).isNotNull()).select(
+        F.col(html).alias("html"), F.xxhash64(html).alias("mark")
+    )
+    marks = named.select("mark").distinct()
+    chosen = smallest(marks, [F.col("mark")], marks.count(), bound)
+    # At most ``bound`` marks: their size is bounded whatever the table holds.
+    found = named.join(F.broadcast(chosen), "mark").groupBy("mark").agg(F.min("html").alias("html"))
+    return train([r.html for r in sorted(found.collect())])
 
 
 def extract(
