@@ -17,6 +17,7 @@ from gridmetrics.sources.staging import shared_folder
 
 #: Bytes of text that one step inside a task holds at a time.
 STEP_BYTES = 8 << 20
+STEP_ROWS = 4096
 _BLANK = 32
 
 
@@ -71,7 +72,8 @@ def ship(spark: SparkSession) -> None:
 def map_rows(
     df: DataFrame, schema: str, of: Callable[[list[dict]], Iterator[tuple]], size: str
 ) -> DataFrame:
-    """Run ``of`` over steps of rows; a step ends when column ``size`` holds STEP_BYTES.
+    """Run ``of`` over steps of rows; a step ends when column ``size`` holds STEP_BYTES, or at
+    ``STEP_ROWS`` rows.
 
     ``of`` gets a list of dicts and yields tuples in the order of ``schema``. Output is cut into
     batches of bounded length, so memory follows the step and not the partition.
@@ -111,15 +113,13 @@ def _batch(columns: list[list], names: list[str], types: list[pa.DataType]) -> p
 
 def _steps(batch: pa.RecordBatch, size: str) -> Iterator[list[dict]]:
     rows, held = [], 0
-    lengths = np.diff(
-        np.frombuffer(batch.column(size).buffers()[1], np.int32)[
-            batch.column(size).offset : batch.column(size).offset + batch.num_rows + 1
-        ]
-    )
+    column = batch.column(size)
+    offsets = np.frombuffer(column.buffers()[1], np.int32)
+    lengths = np.diff(offsets[column.offset : column.offset + batch.num_rows + 1])
     start = 0
     for i, n in enumerate(lengths):
         held += int(n)
-        if held >= STEP_BYTES:
+        if held >= STEP_BYTES or i + 1 - start >= STEP_ROWS:
             rows = batch.slice(start, i + 1 - start).to_pylist()
             start, held = i + 1, 0
             yield rows

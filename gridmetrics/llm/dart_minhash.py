@@ -11,13 +11,15 @@ similarity. Cells are opened only until every coordinate is hit, so a document o
 Documents with the same word sequence are one node before anything is joined. Coordinates are
 banded; nodes that share a band's key meet in a bucket. Candidates are verified on the exact weighted sets:
 
-1. each node against the least node of one of its buckets,
-2. each node against the least nodes of its other buckets, unless already in one class,
-3. in buckets that still hold several classes, all pairs of nodes of different classes.
+1. each node against the least node of one of its buckets;
+2. large buckets that still hold several classes, in pairs of blocks of bounded size: a task gets two
+   blocks, compares all their nodes and returns only links that join classes, so no list of pairs
+   exists anywhere; two blocks of one class are not compared;
+3. small buckets that still hold several classes, each pair of different classes.
 
-So a bucket of any size costs one comparison a node if its nodes are alike, and no
-pair that shares a bucket is left out unless both are in one class already. Classes are connected
-components of verified links.
+So no pair that shares a bucket is left out unless both are in one class already. Pairs of steps 1 and 3 whose
+signatures agree in less than ``AGREE`` of the coordinates are dropped before their texts are read; a pair
+of similarity 0.8 falls there with probability 2e-6. Classes are connected components of verified links.
 
 Defined results: null, empty and wordless texts have no words and are copies of one another; texts of one
 to four words make one run; the class id is the least ``doc_id`` of the class (null only if all are
@@ -40,6 +42,10 @@ WORDS, SIMILARITY = 5, 0.8
 #: 24 bands of 5: a pair of similarity 0.8 shares none with probability 7e-5.
 BANDS, BAND = 24, 5
 COORDINATES = BANDS * BAND
+#: Least agreement of signatures at which texts are compared.
+AGREE = 0.62
+#: Nodes of a bucket from which on it is compared in blocks, and nodes of a block.
+LARGE, BLOCK = 32, 128
 _FIRST_CELL = 2.0**-8
 _STRIPS = 1 << 18
 
@@ -134,12 +140,13 @@ def _sketched(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     def of(rows):
         sets = [strips(r["data"]) for r in rows]
         full = [i for i, s in enumerate(sets) if len(s)]
-        keys = band_keys(signatures([sets[i] for i in full]))
-        found = dict(zip(full, keys.tolist()))
+        marks = signatures([sets[i] for i in full])
+        found = dict(zip(full, band_keys(marks).tolist()))
+        short = dict(zip(full, (m.tobytes() for m in (marks & np.uint64(0xFFFF)).astype(np.uint16))))
         for i, r in enumerate(rows):
             words = b" ".join(r["data"].translate(ALNUM).split())
             digest = hashlib.blake2b(words, digest_size=16).digest()
-            yield r["row_no"], digest, found.get(i, []), r["data"], r["doc_id"]
+            yield r["row_no"], digest, found.get(i, []), short.get(i, b""), r["data"], r["doc_id"]
 
     kind = documents.schema[doc_id].dataType.simpleString()
     named = documents.select(
@@ -147,13 +154,19 @@ def _sketched(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
         F.col(doc_id).alias("doc_id"),
         text_bytes(text).alias("data"),
     )
-    schema = f"row_no long, digest binary, keys array<long>, data binary, doc_id {kind}"
+    schema = f"row_no long, digest binary, keys array<long>, mark binary, data binary, doc_id {kind}"
     return map_rows(named, schema, of, "data")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) whose weighted sets are at least ``least`` similar."""
 
+    def alike(rows):
+        for r in rows:
+            a, b = (np.frombuffer(r[c], np.uint16) for c in ("mark_a", "mark"))
+            if (a == b).mean() >= AGREE:
+                yield r["a"], r["b"]
+
     def of(rows):
         last, kept = None, None
         for r in rows:
@@ -162,9 +175,93 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
             if similarity(kept, strips(r["data"])) >= least:
                 yield r["a"], r["b"]
 
-    left = texts.select(F.col("node").alias("a"), F.col("data").alias("data_a"))
-    right = texts.select(F.col("node").alias("b"), "data")
-    return map_rows(pairs.join(left, "a").join(right, "b"), "a long, b long", of, "data")
+    schema = "a long, b long"
+    marked = _joined(pairs, nodes.select("node", "mark"), "mark")
+    near = stored(map_rows(marked, schema, alike, "mark"))
+    return map_rows(_joined(near, texts, "data"), schema, of, "data")
+
+
+def _joined(pairs: DataFrame, of_node: DataFrame, value: str) -> DataFrame:
+    left = of_node.select(F.col("node").alias("a"), F.col(value).alias(f"{value}_a"))
+    right = of_node.select(F.col("node").alias("b"), value)
+    return pairs.join(left, "a").join(right, "b")
+
+
+def _common(sets: list[np.ndarray], n: int) -> np.ndarray:
+    """Sizes of the intersections of the first n sets with the others."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    ids, column, uses = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = uses[column] > 1
+    owner, column = owner[several], column[several]
+    _, column = np.unique(column, return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    total = np.zeros((n, len(sets) - n), np.float32)
+    for start in range(0, int(column.max(initial=-1)) + 1, 4096):
+        lo, hi = np.searchsorted(column, [start, start + 4096])
+        part = np.zeros((len(sets), 4096), np.float32)
+        part[owner[lo:hi], column[lo:hi] - start] = 1
+        total += part[:n] @ part[n:].T
+    return total
+
+
+def _joining(rows_a: list[dict], rows_b: list[dict], least: float):
+    """Links between nodes of two blocks that join classes; a few for each class, never all."""
+    sets = [strips(r["data"]) for r in (*rows_a, *rows_b)]
+    common = _common(sets, len(rows_a))
+    size_a, size_b = (np.array([len(s) for s in x]) for x in (sets[: len(rows_a)], sets[len(rows_a) :]))
+    linked = common >= least * (size_a[:, None] + size_b[None, :] - common) - 1e-6
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    for i, j in np.argwhere(linked):
+        a, b = root(rows_a[i]["root"]), root(rows_b[j]["root"])
+        if a != b:
+            parent[a] = b
+            yield rows_a[i]["node"], rows_b[j]["node"]
+
+
+def _in_blocks(members: DataFrame, roots: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Links that join classes within large buckets, found by pairs of blocks."""
+    placed = _mixed(members.where(F.col("n") > LARGE), roots)
+    sizes = placed.groupBy("key", "root").agg(F.count("*").alias("own"))
+    sizes = sizes.withColumn("big", F.col("own") >= BLOCK)
+    small = sizes.where("NOT big").groupBy("key").agg(F.sum("own").alias("few"))
+    # A large class has blocks of its own; small classes share blocks. No block depends on order.
+    number = F.when(
+        F.col("big"), F.pmod(F.xxhash64("node"), F.ceil(F.col("own") / BLOCK))
+    ).otherwise(F.pmod(F.xxhash64("root"), F.ceil(F.col("few") / BLOCK)))
+    block = F.struct(F.when(F.col("big"), F.col("root")).alias("of"), number.alias("number"))
+    dealt = (
+        placed.join(sizes, ["key", "root"])
+        .join(small, "key", "left")
+        .select("key", "node", "root", block.alias("block"))
+    )
+    blocks = stored(
+        dealt.join(texts, "node")
+        .groupBy("key", "block")
+        .agg(F.collect_list(F.struct("node", "root", "data")).alias("rows"))
+    )
+    names = blocks.select("key", "block")
+    other = names.select("key", F.col("block").alias("other"))
+    pairs = names.join(other, "key").where(
+        "block <= other AND NOT (block.of IS NOT NULL AND other.of IS NOT NULL AND block.of = other.of)"
+    )
+    met = pairs.join(blocks, ["key", "block"]).join(
+        blocks.select("key", F.col("block").alias("other"), F.col("rows").alias("others")),
+        ["key", "other"],
+    )
+
+    def of(rows):
+        for r in rows:
+            yield from _joining(r["rows"], r["others"], least)
+
+    named = met.select("rows", "others", F.lit(b"").alias("size"))
+    return map_rows(named, "a long, b long", of, "size")
 
 
 def classes(
@@ -178,31 +275,28 @@ def classes(
     rows = stored(_sketched(documents, doc_id, text))
     nodes = stored(
         rows.groupBy("digest").agg(
-            F.min("row_no").alias("node"), F.min("keys").alias("keys")
+            F.min("row_no").alias("node"),
+            F.min("keys").alias("keys"),
+            F.min("mark").alias("mark"),
         )
     )
     buckets = nodes.select("node", F.explode("keys").alias("key"))
     leaders = (
         buckets.groupBy("key")
-        .agg(F.min("node").alias("leader"), F.max("node").alias("last"))
-        .where("leader <> last")
-        .drop("last")
+        .agg(F.min("node").alias("leader"), F.count("*").alias("n"))
+        .where("n > 1")
     )
     members = stored(buckets.join(leaders, "key"))
     shared = members.select("node").distinct()
     texts = stored(
         rows.select(F.col("row_no").alias("node"), "data").join(shared, "node", "left_semi")
     )
-    star = members.where("node <> leader")
-    first = star.groupBy("node").agg(F.min("leader").alias("leader"))
-    links = stored(_verified(_ab(first), texts, least))
-    roots = stored(components(links))
-    rest = _apart(star.select("node", "leader").distinct(), roots, "leader")
-    rest = rest.join(first, ["node", "leader"], "left_anti")
-    links = stored(links.unionAll(_verified(_ab(rest), texts, least)))
-    roots = stored(components(links))
-    cross = _cross(star, roots)
-    links = stored(links.unionAll(_verified(cross, texts, least)))
+    first = members.where("node <> leader").groupBy("node").agg(F.min("leader").alias("leader"))
+    first = first.select(F.col("leader").alias("a"), F.col("node").alias("b"))
+    links = stored(_verified(first, nodes, texts, least))
+    links = stored(links.unionAll(_in_blocks(members, components(links), texts, least)))
+    cross = _cross(members, components(links)).join(first, ["a", "b"], "left_anti")
+    links = stored(links.unionAll(_verified(cross, nodes, texts, least)))
     roots = components(links)
     named = (
         nodes.select("digest", "node")
@@ -223,31 +317,22 @@ def classes(
     )
 
 
-def _ab(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("leader").alias("a"), F.col("node").alias("b"))
-
-
-def _rooted(rows: DataFrame, roots: DataFrame, node: str, root: str) -> DataFrame:
-    named = roots.select(F.col("node").alias(node), F.col("root").alias(root))
-    return rows.join(named, node, "left").withColumn(root, F.coalesce(root, node))
-
-
-def _apart(pairs: DataFrame, roots: DataFrame, other: str) -> DataFrame:
-    """The pairs whose two nodes are in different classes so far."""
-    both = _rooted(_rooted(pairs, roots, "node", "root"), roots, other, "other_root")
-    return both.where("root <> other_root").select("node", other)
-
-
-def _cross(star: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of different classes within buckets; leaders were compared with all others before."""
-    placed = _rooted(star.select("key", "node"), roots, "node", "root")
+def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members with their class so far, of buckets that hold several classes."""
+    placed = members.select("key", "node").join(roots, "node", "left")
+    placed = placed.withColumn("root", F.coalesce("root", "node"))
     mixed = (
         placed.groupBy("key")
         .agg(F.min("root").alias("low"), F.max("root").alias("high"))
         .where("low <> high")
         .select("key")
     )
-    placed = stored(placed.join(mixed, "key"))
+    return stored(placed.join(mixed, "key"))
+
+
+def _cross(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs of different classes within small buckets."""
+    placed = _mixed(members.where(F.col("n") <= LARGE), roots)
     other = placed.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
     return (
         placed.join(other, "key")
