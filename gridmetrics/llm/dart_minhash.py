@@ -11,15 +11,15 @@ similarity. Cells are opened only until every coordinate is hit, so a document o
 Documents with the same word sequence are one node before anything is joined. Coordinates are
 banded; nodes that share a band's key meet in a bucket. Candidates are verified on the exact weighted sets:
 
-1. each node against the least node of one of its buckets;
+1. in buckets of up to ``LARGE`` nodes each pair, in larger ones each node against the least one. Pairs whose
+   signatures agree in less than ``AGREE`` of the coordinates are dropped before any text is read; a
+   pair of similarity 0.8 falls there with probability 2e-6.
 2. large buckets that still hold several classes, in pairs of blocks of bounded size: a task gets two
    blocks, compares all their nodes and returns only links that join classes, so no list of pairs
-   exists anywhere; two blocks of one class are not compared;
-3. small buckets that still hold several classes, each pair of different classes.
+   exists anywhere; two blocks of one class are not compared.
 
-So no pair that shares a bucket is left out unless both are in one class already. Pairs of steps 1 and 3 whose
-signatures agree in less than ``AGREE`` of the coordinates are dropped before their texts are read; a pair
-of similarity 0.8 falls there with probability 2e-6. Classes are connected components of verified links.
+So no pair that shares a bucket is left out unless both are in one class already. Classes are connected
+components of verified links.
 
 Defined results: null, empty and wordless texts have no words and are copies of one another; texts of one
 to four words make one run; the class id is the least ``doc_id`` of the class (null only if all are
@@ -44,8 +44,9 @@ BANDS, BAND = 24, 5
 COORDINATES = BANDS * BAND
 #: Least agreement of signatures at which texts are compared.
 AGREE = 0.62
-#: Nodes of a bucket from which on it is compared in blocks, and nodes of a block.
-LARGE, BLOCK = 32, 128
+#: Nodes of a bucket beyond which it is compared in blocks, and nodes of a block.
+LARGE, BLOCK = 16, 128
+_BITS = 1 << 25
 _FIRST_CELL = 2.0**-8
 _STRIPS = 1 << 18
 
@@ -158,15 +159,22 @@ def _sketched(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     return map_rows(named, schema, of, "data")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose weighted sets are at least ``least`` similar."""
+def _alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose signatures agree enough to compare their texts."""
 
-    def alike(rows):
+    def of(rows):
         for r in rows:
             a, b = (np.frombuffer(r[c], np.uint16) for c in ("mark_a", "mark"))
             if (a == b).mean() >= AGREE:
                 yield r["a"], r["b"]
 
+    marked = _joined(pairs, nodes.select("node", "mark"), "mark")
+    return map_rows(marked, "a long, b long", of, "mark")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose weighted sets are at least ``least`` similar."""
+
     def of(rows):
         last, kept = None, None
         for r in rows:
@@ -175,10 +183,24 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, least: float
             if similarity(kept, strips(r["data"])) >= least:
                 yield r["a"], r["b"]
 
-    schema = "a long, b long"
-    marked = _joined(pairs, nodes.select("node", "mark"), "mark")
-    near = stored(map_rows(marked, schema, alike, "mark"))
-    return map_rows(_joined(near, texts, "data"), schema, of, "data")
+    return map_rows(_joined(pairs, texts, "data"), "a long, b long", of, "data")
+
+
+def _texts_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Texts of the wanted nodes; a bitmap of fixed size keeps most others out of the shuffle."""
+    spot = F.pmod(F.xxhash64("node"), F.lit(_BITS))
+    bits = wanted.groupBy(F.floor(spot / 32768).alias("part")).agg(
+        F.bitmap_construct_agg((spot % 32768).cast("int")).alias("bits")
+    )
+    # _BITS / 8 bytes in all, whatever the number of nodes.
+    named = rows.select(F.col("row_no").alias("node"), "data").withColumn("spot", spot)
+    byte = F.expr("conv(hex(substring(bits, int(spot % 32768) div 8 + 1, 1)), 16, 10)").cast("int")
+    likely = (
+        named.withColumn("part", F.floor(F.col("spot") / 32768))
+        .join(F.broadcast(bits), "part")
+        .where(byte.bitwiseAND(F.expr("shiftleft(1, int(spot % 8))")) != 0)
+    )
+    return likely.select("node", "data").join(wanted, "node", "left_semi")
 
 
 def _joined(pairs: DataFrame, of_node: DataFrame, value: str) -> DataFrame:
@@ -225,9 +247,9 @@ def _joining(rows_a: list[dict], rows_b: list[dict], least: float):
             yield rows_a[i]["node"], rows_b[j]["node"]
 
 
-def _in_blocks(members: DataFrame, roots: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+def _in_blocks(large: DataFrame, roots: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Links that join classes within large buckets, found by pairs of blocks."""
-    placed = _mixed(members.where(F.col("n") > LARGE), roots)
+    placed = _mixed(large, roots)
     sizes = placed.groupBy("key", "root").agg(F.count("*").alias("own"))
     sizes = sizes.withColumn("big", F.col("own") >= BLOCK)
     small = sizes.where("NOT big").groupBy("key").agg(F.sum("own").alias("few"))
@@ -287,16 +309,17 @@ def classes(
         .where("n > 1")
     )
     members = stored(buckets.join(leaders, "key"))
-    shared = members.select("node").distinct()
-    texts = stored(
-        rows.select(F.col("row_no").alias("node"), "data").join(shared, "node", "left_semi")
+    near = stored(_alike(_pairs(members), nodes))
+    large = members.where(F.col("n") > LARGE)
+    wanted = stored(
+        large.select("node")
+        .unionAll(near.select(F.col("a").alias("node")))
+        .unionAll(near.select(F.col("b").alias("node")))
+        .distinct()
     )
-    first = members.where("node <> leader").groupBy("node").agg(F.min("leader").alias("leader"))
-    first = first.select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    links = stored(_verified(first, nodes, texts, least))
-    links = stored(links.unionAll(_in_blocks(members, components(links), texts, least)))
-    cross = _cross(members, components(links)).join(first, ["a", "b"], "left_anti")
-    links = stored(links.unionAll(_verified(cross, nodes, texts, least)))
+    texts = stored(_texts_of(rows, wanted))
+    links = stored(_verified(near, texts, least))
+    links = stored(links.unionAll(_in_blocks(large, components(links), texts, least)))
     roots = components(links)
     named = (
         nodes.select("digest", "node")
@@ -330,16 +353,18 @@ def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
     return stored(placed.join(mixed, "key"))
 
 
-def _cross(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of different classes within small buckets."""
-    placed = _mixed(members.where(F.col("n") <= LARGE), roots)
-    other = placed.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    return (
-        placed.join(other, "key")
-        .where("node < b AND root <> root_b")
-        .select(F.col("node").alias("a"), "b")
-        .distinct()
+def _pairs(members: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b: all of small buckets, and those with the least node of large ones."""
+    small = members.where(F.col("n") <= LARGE).select("key", "node")
+    within = (
+        small.select("key", F.col("node").alias("a"))
+        .join(small.select("key", F.col("node").alias("b")), "key")
+        .where("a < b")
+        .select("a", "b")
     )
+    star = members.where((F.col("n") > LARGE) & (F.col("node") != F.col("leader")))
+    star = star.select(F.col("leader").alias("a"), F.col("node").alias("b"))
+    return within.unionAll(star).distinct()
 
 
 def first_of_each_class(
