@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, dart_minhash, html_blocks, lattice, quality, topk, toxicity, wu_manber
+from . import byte_bpe, dart_minhash, feistel, html_blocks, lattice, quality, topk, toxicity, wu_manber
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": quality.query,
     "op2_lattice": lattice.query,
     "op3_html_blocks": html_blocks.query,
+    "op4_feistel": feistel.query,
     "op5_byte_bpe": byte_bpe.query,
     "op6_dart_minhash": dart_minhash.query,
     "op7_decontamination": wu_manber.query,
