@@ -81,37 +81,30 @@ def encode_documents(
     pattern: str,
     doc_id: str = "doc_id",
     text: str = "text",
-    output: str = "ids",
+    output: str = "all",
 ) -> DataFrame:
     """Encode and decode every text.
 
-    ``output='ids'`` returns doc_id, ids and the decoded bytes; ``'digest'`` returns only counts
-    and digests of both, which keeps a check of a whole corpus small.
+    ``output='all'`` returns doc_id, ids, the decoded bytes and the digests of both; ``'digest'``
+    only counts and digests, which keeps a check of a whole corpus small.
     """
     shared = documents.sparkSession.sparkContext.broadcast((ranks, pattern))
 
     def of(rows):
         codec = encoding(*shared.value)
-        names = [str(i) for i in range(codec.n_vocab)] if output == "digest" else []
+        names = [str(i) for i in range(codec.n_vocab)]
         for row in rows:
             ids = encode(codec, row["text"])
             decoded = codec.decode_bytes(ids)
-            if output == "ids":
-                yield row["doc_id"], len(ids), ids, decoded
-            else:
-                joined = ",".join([names[i] for i in ids]).encode()
-                yield (
-                    row["doc_id"],
-                    len(ids),
-                    hashlib.sha256(joined).hexdigest(),
-                    hashlib.sha256(decoded).hexdigest(),
-                )
+            joined = ",".join([names[i] for i in ids]).encode()
+            digests = hashlib.sha256(joined).hexdigest(), hashlib.sha256(decoded).hexdigest()
+            whole = (ids, decoded) if output == "all" else ()
+            yield (row["doc_id"], len(ids), *digests, *whole)
 
     kind = documents.schema[doc_id].dataType.simpleString()
-    schema = {
-        "ids": f"doc_id {kind}, n_tokens long, ids array<int>, decoded binary",
-        "digest": f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string",
-    }[output]
+    schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    if output == "all":
+        schema += ", ids array<int>, decoded binary"
     named = documents.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )

@@ -186,7 +186,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return map_rows(_joined(pairs, texts, "data"), "a long, b long", of, "data")
 
 
-def _texts_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+def texts_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """Texts of the wanted nodes; a bitmap of fixed size keeps most others out of the shuffle."""
     spot = F.pmod(F.xxhash64("node"), F.lit(_BITS))
     bits = wanted.groupBy(F.floor(spot / 32768).alias("part")).agg(
@@ -317,7 +317,7 @@ def classes(
         .unionAll(near.select(F.col("b").alias("node")))
         .distinct()
     )
-    texts = stored(_texts_of(rows, wanted))
+    texts = stored(texts_of(rows, wanted))
     links = stored(_verified(near, texts, least))
     links = stored(links.unionAll(_in_blocks(large, components(links), texts, least)))
     roots = components(links)

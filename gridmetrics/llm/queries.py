@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, dart_minhash, feistel, html_blocks, lattice, quality, topk, toxicity, wu_manber
+from . import byte_bpe, compact_windows, dart_minhash, feistel, html_blocks, lattice, quality, topk, toxicity, wu_manber
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": quality.query,
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_dart_minhash": dart_minhash.query,
     "op7_decontamination": wu_manber.query,
     "op8_toxicity": toxicity.query,
+    "op9_compact_windows": compact_windows.query,
     "op10_exact_topk": topk.query,
 }
 

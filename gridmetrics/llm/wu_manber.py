@@ -170,16 +170,32 @@ def _searched(docs: DataFrame, shared) -> DataFrame:
         for row in rows:
             words = words_of(row["data"])
             hit, items = search(words, tables)
-            digest = hashlib.blake2b(row["data"], digest_size=16).digest()
+            digest = hashlib.md5(row["data"]).hexdigest()
             yield row["doc_id"], digest, len(words), hit, sorted(items)
 
     kind = dict(docs.dtypes)["doc_id"]
     schema = (
-        f"doc_id {kind}, digest binary, n_words long, hit array<int>, items array<string>"
+        f"doc_id {kind}, digest string, n_words long, hit array<int>, items array<string>"
     )
     return map_rows(docs, schema, of, "data")
 
 
+def clean(
+    documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The rows of ``documents``, all columns as they are, that are not contaminated.
+
+    Rows are met by id and text digest: equal rows have equal verdicts.
+    """
+    bad = decontaminate(documents, benchmark, doc_id, text).where("contaminated")
+    bad = bad.select(F.col("doc_id").alias("_id"), F.col("text_digest").alias("_digest")).distinct()
+    rows = documents.select(F.struct("*").alias("row")).withColumn(
+        "_digest", F.md5(F.coalesce(F.col("row")[text], F.lit("")))
+    )
+    same = F.col("row")[doc_id].eqNullSafe(F.col("_id")) & (rows["_digest"] == bad["_digest"])
+    return rows.join(bad, same, "left_anti").select("row.*")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op7: the digest columns of decontaminating ``documents`` by ``benchmark``."""
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
