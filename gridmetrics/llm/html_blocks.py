@@ -374,13 +374,14 @@ def train(pages: list[str], epochs: int = 6, seed: int = 3) -> Model:
     """Fit on a bounded list of pages that name their article; others teach nothing."""
     rng = np.random.default_rng(seed)
     examples = []
+    variants = max(2, 2 * SAMPLE // max(1, len(pages)))  # few pages are varied more often
     for html in pages:
         blocks = blocks_of(html)
         labels = weak_labels(blocks)
         if labels is None:
             continue
         examples.append((vectors(blocks), labels))
-        for _ in range(2):
+        for _ in range(variants):
             more, marks = varied(blocks, labels, rng)
             examples.append((vectors(more), marks))
     model = Model(seed)
