@@ -101,13 +101,16 @@ def demand_yoy_r12(star: Star) -> DataFrame:
 
 
 def data_through(star: Star) -> DataFrame:
-    """The earliest of the three facts' last dates, as text."""
+    """The earliest of the three facts' last dates, as text; null if a fact is empty."""
     demand, generation, price = (
         fact.agg(F.max("date").alias("last")) for fact in (star.demand, star.generation, star.price)
     )
-    # The earliest of the last dates; a fact without rows does not count.
-    return demand.unionByName(generation).unionByName(price).agg(
-        F.date_format(F.min("last"), "yyyy-MM-dd").alias("data_through")
+    # Every fact must reach the date, so one without rows leaves it unknown.
+    lasts = demand.unionByName(generation).unionByName(price)
+    return lasts.agg(
+        F.when(F.count("last") == F.count("*"), F.date_format(F.min("last"), "yyyy-MM-dd")).alias(
+            "data_through"
+        )
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta
+from enum import StrEnum
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,10 @@ from gridmetrics.operators import checks
 from gridmetrics.sources import tables
 from gridmetrics.spec import FRESHNESS_LAG_DAYS, SPECS, VERDICT_SCHEMA, VERDICT_TABLE
 
-STAGES = ("silver",)
+class Stage(StrEnum):
+    """What a gate can judge."""
+
+    SILVER = "silver"
 
 
 class GateFailure(RuntimeError):
@@ -19,16 +23,12 @@ class GateFailure(RuntimeError):
 
     def __init__(self, failed: list) -> None:
         self.failed = failed
-        listing = "; ".join(
-            f"{row['table']}.{row['column'] or '*'} {row['check']}: {row['details']}" for row in failed
-        )
-        super().__init__(f"quality gate failed ({len(failed)} check(s)): {listing}")
+        super().__init__("\n".join([f"{len(failed)} check(s) failed", *map(_line, failed)]))
 
 
-def check_stage(stage: str) -> str:
-    if stage not in STAGES:
-        raise ValueError(f"stage must be one of {STAGES}; got {stage!r}")
-    return stage
+def _line(verdict) -> str:
+    where = ".".join((verdict["table"], verdict["column"] or "*"))
+    return f"{where} {verdict['check']}: {verdict['details']}"
 
 
 def silver_tables(spark: SparkSession) -> list[DataFrame]:
@@ -47,7 +47,7 @@ def run_gate(
     ``baseline="last_green"`` compares row counts with the last run that had no failure
     instead of the last run of any outcome.
     """
-    check_stage(stage)
+    stage = Stage(stage).value
     run_ts = run_ts or tables.utc_now()
     as_of = as_of or tables.utc_now().date()
     floor = as_of - timedelta(days=FRESHNESS_LAG_DAYS)

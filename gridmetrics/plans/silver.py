@@ -14,18 +14,24 @@ from gridmetrics.sources.staging import staged
 from gridmetrics.spec import QUARANTINE_SCHEMA, QUARANTINE_TABLE, SPECS, spec_for
 
 logger = logging.getLogger(__name__)
-_SHOWN_FILES = 20
+UNUSABLE_TABLE = "silver.unusable_files"
+UNUSABLE_SCHEMA = (
+    "indicator STRING NOT NULL, file STRING, problem STRING, found_at TIMESTAMP NOT NULL"
+)
 
 
 class UnusableFiles(ValueError):
-    """Some files could not be read as envelopes; nothing was written."""
+    """Some files could not be read as envelopes; no row and no quarantined record was written.
 
-    def __init__(self, indicator: str, count: int, shown: list[tuple[str, str]]) -> None:
-        self.count = count
-        self.shown = shown
-        listing = "; ".join(f"{file}: {problem}" for file, problem in shown)
-        more = f"; and {count - len(shown)} more" if count > len(shown) else ""
-        super().__init__(f"{indicator}: {count} unusable envelope part(s): {listing}{more}")
+    All of them are in ``UNUSABLE_TABLE`` under ``found_at``; the message says how many.
+    """
+
+    def __init__(self, indicator: str, count: int, found_at: datetime) -> None:
+        self.count, self.found_at = count, found_at
+        super().__init__(
+            f"{indicator}: {count} unusable envelope part(s), all in {UNUSABLE_TABLE} "
+            f"with found_at = {found_at}"
+        )
 
 
 def ensure_silver(spark: SparkSession) -> None:
@@ -50,7 +56,7 @@ def load_indicator(
     """Parse envelopes, quarantine what did not type, upsert the rest; idempotent.
 
     The files are parsed once into a written staging table that all following steps read.
-    Unusable files stop the load before anything is written. By default a quarantined
+    Unusable files are all listed in a table and stop the load before rows are written. By default a quarantined
     record already stored by an earlier run is not stored again; ``append_repeats`` stores
     it anyway.
     """
@@ -62,8 +68,16 @@ def load_indicator(
         logger.info("%s: %s", indicator, counts)
         parsed = split(records)
         if counts[UNUSABLE]:
-            shown = parsed.unusable.orderBy("file", "problem").limit(_SHOWN_FILES).collect()
-            raise UnusableFiles(indicator, counts[UNUSABLE], [tuple(row) for row in shown])
+            found_at = loaded_at or tables.utc_now()
+            listed = parsed.unusable.select(
+                F.lit(indicator).alias("indicator"),
+                "file",
+                "problem",
+                F.lit(found_at).cast("timestamp").alias("found_at"),
+            )
+            tables.ensure_table(spark, UNUSABLE_TABLE, UNUSABLE_SCHEMA)
+            tables.append(spark, UNUSABLE_TABLE, listed)
+            raise UnusableFiles(indicator, counts[UNUSABLE], found_at)
         if counts[QUARANTINE]:
             rejected = parsed.quarantined.withColumn(
                 "loaded_at", F.lit(loaded_at or tables.utc_now()).cast("timestamp")

@@ -285,7 +285,7 @@ ORACLE: dict[str, str] = {
           SELECT 1 FROM logged o WHERE o.day < DATE '2001-08-10' AND o.indicator = n.indicator
             AND o.raw = n.raw AND o.user_id = n.user_id)""",
     "delete_by_predicate": sql((GENERATION,), "SELECT * FROM generation WHERE technology <> 'PROMO'"),
-    "watermark_upsert": f"""WITH known AS ({watermarks("l_shipdate < DATE '1995-01-11'", "1995-01-11 00:00:00")}),
+    "watermark_upsert": f"""WITH known AS ({watermarks("l_shipdate < DATE '2001-10-25'", "1995-01-11 00:00:00")}),
         new AS ({watermarks("l_shipdate >= DATE '2001-10-25'", "2001-12-01 00:00:00")})
         SELECT coalesce(n.indicator, k.indicator) AS indicator, coalesce(n.last_end, k.last_end) AS last_end,
           coalesce(n.updated_at, k.updated_at) AS updated_at

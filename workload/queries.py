@@ -194,9 +194,9 @@ def line_watermarks(df: DataFrame, updated_at: datetime) -> DataFrame:
 
 @query
 def watermark_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Supplier watermarks of the first ten days, updated by those of the last days."""
+    """Supplier watermarks of all shipments before a day, updated by those from that day on."""
     shipped = standins.table(spark, sf_dir, "lineitem")
-    known = line_watermarks(shipped.filter(F.col("l_shipdate") < F.lit(date(1995, 1, 11))), datetime(1995, 1, 11))
+    known = line_watermarks(shipped.filter(F.col("l_shipdate") < F.lit(WATERMARK_SPLIT.date())), datetime(1995, 1, 11))
     new = line_watermarks(shipped.filter(F.col("l_shipdate") >= F.lit(WATERMARK_SPLIT.date())), datetime(2001, 12, 1))
     merged = merge.merge_by_key(known, new, ["indicator"], update=["last_end", "updated_at"])
     return naive(merged, "updated_at")
