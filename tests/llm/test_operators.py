@@ -153,6 +153,34 @@ def test_windows_cover_all_subsequences():
     assert set(zip(left.tolist(), place.tolist(), right.tolist())) == want
 
 
+def test_windows_are_the_wide_nodes_of_the_cartesian_tree():
+    from gridmetrics.llm.common import mix
+
+    width = 10
+    tokens = np.random.default_rng(4).integers(1, 1 << 62, 300, dtype=np.uint64)
+    hashes = mix(tokens + np.uint64(0x9E3779B97F4A7C15)).tolist()
+    nodes, todo = set(), [(0, len(hashes) - 1)]
+    while todo:
+        i, j = todo.pop()
+        if j - i + 1 < width:
+            continue
+        c = min(range(i, j + 1), key=hashes.__getitem__)
+        nodes.add((max(i, c - width + 1), c, min(j, c + width - 1)))
+        todo += [(i, c - 1), (c + 1, j)]
+    _, left, place, right = compact_windows.windows(tokens, 0, width)
+    assert set(zip(left.tolist(), place.tolist(), right.tolist())) == nodes
+
+
+def test_agreeing_windows():
+    rng = np.random.default_rng(5)
+    left = rng.integers(0, 300, 80)
+    right = left + rng.integers(9, 18, 80)
+    starts = [set(range(a, b - 8)) for a, b in zip(left, right)]
+    count = Counter(x for s in starts for x in s)
+    want = [any(count[x] >= 2 for x in s) for s in starts]
+    assert compact_windows.agreeing(left, right, 10, 2).tolist() == want
+
+
 def _luhn(text):
     digits = [int(c) for c in reversed(text) if c.isdigit()]
     return sum(d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(digits)) % 10 == 0
