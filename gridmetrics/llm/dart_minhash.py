@@ -186,8 +186,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return map_rows(_joined(pairs, texts, "data"), "a long, b long", of, "data")
 
 
-def texts_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Texts of the wanted nodes; a bitmap of fixed size keeps most others out of the shuffle."""
+def likely_texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Texts of the wanted nodes and of the few others that a bitmap of fixed size lets through; no shuffle of texts."""
     spot = F.pmod(F.xxhash64("node"), F.lit(_BITS))
     bits = wanted.groupBy(F.floor(spot / 32768).alias("part")).agg(
         F.bitmap_construct_agg((spot % 32768).cast("int")).alias("bits")
@@ -195,12 +195,17 @@ def texts_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     # _BITS / 8 bytes in all, whatever the number of nodes.
     named = rows.select(F.col("row_no").alias("node"), "data").withColumn("spot", spot)
     byte = F.expr("conv(hex(substring(bits, int(spot % 32768) div 8 + 1, 1)), 16, 10)").cast("int")
-    likely = (
+    return (
         named.withColumn("part", F.floor(F.col("spot") / 32768))
         .join(F.broadcast(bits), "part")
         .where(byte.bitwiseAND(F.expr("shiftleft(1, int(spot % 8))")) != 0)
+        .select("node", "data")
     )
-    return likely.select("node", "data").join(wanted, "node", "left_semi")
+
+
+def texts_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Texts of the wanted nodes."""
+    return likely_texts(rows, wanted).join(wanted, "node", "left_semi")
 
 
 def _joined(pairs: DataFrame, of_node: DataFrame, value: str) -> DataFrame:
