@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridmetrics.operators.star import Star
+from gridmetrics.spec import DEFAULT_SERIES
 
 DATE_COLUMNS = ("date", "year", "month", "month_name", "quarter", "day_of_week", "is_weekend")
 
@@ -137,8 +138,10 @@ def avg_price(star: Star, by: Sequence[str] = (), dates: Column | None = None, s
     )
 
 
-def price_min_max(star: Star, dates: Column | None = None, series: Sequence[str] | None = None) -> DataFrame:
-    """Lowest and highest price in context."""
+def price_min_max(
+    star: Star, dates: Column | None = None, series: Sequence[str] | None = (DEFAULT_SERIES,)
+) -> DataFrame:
+    """Lowest and highest price in context, of the default series; None takes all series."""
     return _price_rows(star, dates, series).agg(
         F.min("price_eur_mwh").alias("min_price"), F.max("price_eur_mwh").alias("max_price")
     )

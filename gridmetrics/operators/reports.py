@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from gridmetrics.operators import measures
 from gridmetrics.operators.marts import by_month_technology
 from gridmetrics.operators.star import Star
-from gridmetrics.spec import SPOT_SERIES
+from gridmetrics.spec import DEFAULT_SERIES, SPOT_SERIES
 
 # --- report visuals -------------------------------------------------------------------
 
@@ -40,7 +40,8 @@ def share_by_month(star: Star, dates: Column | None = None) -> DataFrame:
     return measures.renewables_share(star, ("year", "month"), dates).orderBy("year", "month")
 
 
-def price_by_date(star: Star, series: Sequence[str] | None = None) -> DataFrame:
+def price_by_date(star: Star, series: Sequence[str] | None = (DEFAULT_SERIES,)) -> DataFrame:
+    """Daily means with their 30-day means, of the default series; None takes all series together."""
     return measures.avg_price_30d(star, series).orderBy("date")
 
 

@@ -30,7 +30,7 @@ def ingest(
     when there was nothing to fetch.
     """
     feeds = work_plan.indicators(spark)
-    if work_plan.check_mode(mode) == "backfill":
+    if work_plan.Mode(mode) is work_plan.Mode.BACKFILL:
         last = work_plan.check_date(end, "end")
         plan = work_plan.backfill_plan(feeds, work_plan.check_date(start, "start"), last)
     else:

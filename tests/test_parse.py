@@ -28,14 +28,14 @@ def rows(df, *columns):
 def test_demand_rows_keep_the_written_date(files):
     payload = envelope(
         series("Demanda", "Demanda", [
-            entry(555244.867, "2024-01-01T00:00:00.000+01:00"),
+            entry(48210.5, "2024-01-01T00:00:00.000+01:00"),
             entry(1, "2024-07-02T00:00:00.000+02:00"),
         ]),
         series("Other", None, [entry(2.5, "2024-01-03")]),
     )
     parsed = parse.parse(files({"a": payload}), DEMAND)
     assert rows(parsed.rows, "date", "value") == [
-        (date(2024, 1, 1), 555244.867), (date(2024, 1, 3), 2.5), (date(2024, 7, 2), 1.0),
+        (date(2024, 1, 1), 48210.5), (date(2024, 1, 3), 2.5), (date(2024, 7, 2), 1.0),
     ]
     assert parsed.quarantined.count() == 0
     assert parsed.unusable.count() == 0
@@ -44,11 +44,11 @@ def test_demand_rows_keep_the_written_date(files):
 def test_demand_quarantines_structure_not_meaning(files):
     payload = envelope(
         series("Demanda", "Demanda", [
-            entry(None, day("2024-01-01")), {"value": 5.0, "percentage": 1}, entry(-999.0, day("2024-01-03")),
+            entry(None, day("2024-05-07")), {"value": 2.25, "percentage": 1}, entry(-12.25, day("2024-05-09")),
         ])
     )
     parsed = parse.parse(files({"a": json.dumps(payload, indent=2)}), DEMAND)
-    assert rows(parsed.rows, "date", "value") == [(date(2024, 1, 3), -999.0)]
+    assert rows(parsed.rows, "date", "value") == [(date(2024, 5, 9), -12.25)]
     assert rows(parsed.quarantined, "reason") == [("missing datetime",), ("non-numeric value null",)]
 
 
@@ -156,7 +156,8 @@ def test_generation_types_and_flags(files):
     assert parsed.quarantined.count() == 0
 
 
-FLAGS = [True, "true", "TRUE", " Yes ", 1, 1.0, "absent", False, "false", 0, None, [], {}]
+#: Each JSON type with either truth, and what has no truth.
+FLAGS = [kind(truth) for truth in (True, False) for kind in (bool, int, float, str)] + ["absent", None, [], {}]
 
 
 def test_aggregate_is_dropped_under_every_flag(files):
@@ -190,7 +191,7 @@ def test_each_signal_alone_marks_the_aggregate(files):
 
 
 def test_falsy_flags_keep_technologies(files):
-    flags = [False, "false", "no", "2", 0, 0.0, None]
+    flags = [kind(False) for kind in (bool, int, float, str)] + ["n", None]
     payloads = {
         str(i): envelope(series("Eólica", "Renovable", [entry(1, day("2024-01-01"))], composite=flag))
         for i, flag in enumerate(flags)

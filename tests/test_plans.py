@@ -6,15 +6,18 @@ import json
 import os
 from dataclasses import replace
 from datetime import date, datetime, timedelta
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
-from gridmetrics.operators import checks, work_plan
+from gridmetrics.operators import checks, measures, reports, work_plan
 from gridmetrics.operators.calendar import explode_month_windows
 from gridmetrics.plans import gate, gold, refresh, silver
 from gridmetrics.sources import landing, tables
-from gridmetrics.spec import DEMAND, GENERATION, PRICES, QUARANTINE_TABLE, SPECS, VERDICT_TABLE, WATERMARK_TABLE
+from gridmetrics.spec import (
+    DEFAULT_SERIES, DEMAND, GENERATION, PRICES, QUARANTINE_TABLE, SPECS, SPOT_SERIES, VERDICT_TABLE, WATERMARK_TABLE,
+)
 from gridmetrics.streaming.landing_stream import load_new
 from tests.conftest import day, entry, envelope, series
 
@@ -183,22 +186,31 @@ def test_verdict_thresholds(spark):
         return row["status"], row["observed"], row["details"]
 
     n = lambda value: F.lit(value).cast("long")
-    assert one(checks.null_pct("t", "c", n(0), n(100))) == ("PASS", 0.0, "0/100 null (0.00%)")
-    assert one(checks.null_pct("t", "c", n(1), n(100))) == ("FAIL", 1.0, "1/100 null (1.00%)")
+    assert one(checks.null_pct("t", "c", n(0), n(250))) == ("PASS", 0.0, "0/250 null (0.00%)")
+    assert one(checks.null_pct("t", "c", n(1), n(250))) == ("FAIL", 0.4, "1/250 null (0.40%)")
     assert one(checks.null_pct("t", "c", n(0), n(0)))[:2] == ("PASS", 0.0)
-    assert one(checks.value_range("t", "c", n(3), 0.0, 4.0)) == ("FAIL", 3.0, "3 rows outside [0.0, 4.0]")
-    assert one(checks.row_count_delta("t", n(110), n(100)))[:2] == ("PASS", 10.0)
-    assert one(checks.row_count_delta("t", n(40), n(100)))[:2] == ("FAIL", 60.0)
-    assert one(checks.row_count_delta("t", n(0), n(100)))[:2] == ("FAIL", 100.0)
+    assert one(checks.value_range("t", "c", n(7), -2.0, 9.5)) == ("FAIL", 7.0, "7 rows outside [-2.0, 9.5]")
+    assert one(checks.row_count_delta("t", n(119), n(80)))[:2] == ("PASS", 48.75)
+    assert one(checks.row_count_delta("t", n(121), n(80)))[:2] == ("FAIL", 51.25)
+    assert one(checks.row_count_delta("t", n(0), n(64)))[:2] == ("FAIL", 100.0)
     newest = lambda text: F.lit(text).cast("date")
     assert one(checks.freshness("t", newest("2024-02-01"), AS_OF))[:2] == ("PASS", 0.0)
-    assert one(checks.freshness("t", newest("2024-02-09"), AS_OF))[:2] == ("PASS", 0.0)
-    assert one(checks.freshness("t", newest("2024-01-25"), AS_OF))[:2] == ("FAIL", 7.0)
+    assert one(checks.freshness("t", newest("2024-03-05"), AS_OF))[:2] == ("PASS", 0.0)
+    assert one(checks.freshness("t", newest("2024-01-31"), AS_OF))[:2] == ("FAIL", 1.0)
     assert one(checks.freshness("t", newest(None), AS_OF)) == ("FAIL", float("inf"), "table empty; expected max date >= 2024-02-01")
     band = lambda days, extreme: one(checks.ratio_band("t", "r", n(days), F.lit(extreme).cast("double"), 0.8, 1.6))
     assert band(0, None) == ("PASS", 0.0, "0 day(s) with r outside [0.8, 1.6]; furthest n/a")
-    assert band(26, 2.29) == ("FAIL", 2.29, "26 day(s) with r outside [0.8, 1.6]; furthest 2.29")
-    assert band(1, 0.41)[:2] == ("FAIL", 0.41)
+    assert band(5, 1.75) == ("FAIL", 1.75, "5 day(s) with r outside [0.8, 1.6]; furthest 1.75")
+    assert band(2, 0.79)[:2] == ("FAIL", 0.79)
+
+
+def test_prices_default_to_one_series(spark):
+    prices = [(date(2024, 5, 1), s, v) for s, v in ((DEFAULT_SERIES, 11.0), (DEFAULT_SERIES, 13.0), (SPOT_SERIES, 90.0))]
+    star = SimpleNamespace(price=spark.createDataFrame(prices, "date DATE, series STRING, price_eur_mwh DOUBLE"))
+    assert [r["avg_price"] for r in reports.price_by_date(star).collect()] == [12.0]
+    assert [r["avg_price"] for r in reports.price_by_date(star, None).collect()] == [38.0]
+    assert tuple(measures.price_min_max(star).first()) == (11.0, 13.0)
+    assert tuple(measures.price_min_max(star, series=None).first()) == (11.0, 90.0)
 
 
 # --- planning -------------------------------------------------------------------------
@@ -253,12 +265,12 @@ def test_malformed_or_missing_watermark_is_an_error(spark, stored):
 
 
 def test_parameters_are_strict():
-    assert work_plan.check_mode("daily") == "daily"
+    assert work_plan.Mode("daily") == "daily"
     assert work_plan.check_date("2024-02-29", "p") == date(2024, 2, 29)
     assert work_plan.check_watermark("2024-02-29T23:59") == "2024-02-29T23:59"
     assert work_plan.day_before(date(2024, 3, 1)) == date(2024, 2, 29)
     for call in (
-        lambda: work_plan.check_mode(""), lambda: work_plan.check_date("", "p"),
+        lambda: work_plan.Mode(""), lambda: work_plan.check_date("", "p"),
         lambda: work_plan.check_date("20240229", "p"), lambda: work_plan.check_date("2024-02-30", "p"),
         lambda: work_plan.check_watermark("2024-02-29"),
     ):

@@ -7,19 +7,22 @@ import os
 import pytest
 
 import __spark_entry__ as driver
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-TABLES = ("orders", "lineitem", "part", "events", "customer")
+TABLES = ("orders", "lineitem", "part", "events", "customer", "supplier")
 # One per family; the driver compares all of them at a larger scale.
 CHECKED = [
     "mv_renewables_share_parsed", "parse_prices", "quarantine_generation", "modal_grain", "upsert_merge",
     "watermark_upsert", "dim_date", "dq_results", "dq_invariants", "demand_by_month_complete",
-    "price_daily_avg30d", "plan_daily",
+    "price_daily_avg30d", "price_min_max", "plan_daily",
 ]
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")

@@ -439,10 +439,10 @@ ORACLE: dict[str, str] = {
         FROM part"""
     ),
     "plan_daily": work_items(
-        """SELECT CAST(l_suppkey AS INTEGER) AS position, 'supplier/' || l_suppkey AS indicator_path,
-          'supplier_' || l_suppkey AS indicator_name, 'hour' AS time_trunc,
+        """SELECT CAST(s_suppkey AS INTEGER) AS position, 'supplier/' || s_suppkey AS indicator_path,
+          'supplier_' || s_suppkey AS indicator_name, 'hour' AS time_trunc,
           CAST(date_trunc('month', CAST(max(l_shipdate) AS DATE) + 1) AS DATE) AS lo, DATE '2001-11-03' AS hi
-        FROM lineitem WHERE l_quantity = 50 GROUP BY l_suppkey
+        FROM supplier LEFT JOIN lineitem ON l_suppkey = s_suppkey GROUP BY s_suppkey
         HAVING CAST(max(l_shipdate) AS DATE) + 1 <= DATE '2001-11-03'"""
     ),
 }

@@ -435,7 +435,7 @@ def price_daily_avg30d(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def price_min_max(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return measures.price_min_max(gold_objects(spark, sf_dir))
+    return measures.price_min_max(gold_objects(spark, sf_dir), series=None)
 
 
 @query
@@ -507,13 +507,12 @@ def plan_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def plan_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every supplier as a feed, resumed after its last full-quantity shipment."""
-    full = standins.table(spark, sf_dir, "lineitem").filter("l_quantity = 50")
-    watermarks = line_watermarks(full, datetime(2001, 12, 1))
-    feeds = full.select("l_suppkey").distinct().select(
-        F.col("l_suppkey").cast("int").alias("position"),
-        F.concat(F.lit("supplier/"), "l_suppkey").alias("indicator_path"),
-        F.concat(F.lit("supplier_"), "l_suppkey").alias("indicator_name"),
+    """Every supplier as a feed, resumed after its last shipment."""
+    watermarks = line_watermarks(standins.table(spark, sf_dir, "lineitem"), datetime(2001, 12, 1))
+    feeds = standins.table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("int").alias("position"),
+        F.concat(F.lit("supplier/"), "s_suppkey").alias("indicator_path"),
+        F.concat(F.lit("supplier_"), "s_suppkey").alias("indicator_name"),
         F.lit("hour").alias("time_trunc"),
     )
     return work_plan.daily_plan(feeds, watermarks, FLOOR).drop("window_start", "window_end")
