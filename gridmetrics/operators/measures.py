@@ -31,6 +31,15 @@ def _visible(star: Star, by: Sequence[str], dates: Column | None) -> DataFrame:
     return days.withColumn("period_end", F.last_day(F.max("date").over(group)))
 
 
+def _in_context(daily: DataFrame, star: Star, by: Sequence[str], dates: Column | None) -> DataFrame:
+    """Daily rows in context with the calendar's columns; every fact date is in the calendar,
+    so it is not read where neither ``by`` nor ``dates`` asks for it.
+    """
+    if dates is None and not any(c in star.dim_date.columns for c in by):
+        return daily
+    return daily.join(star.dim_date if dates is None else star.dim_date.filter(dates), "date")
+
+
 def _total(fact: DataFrame, value: str, keys: Sequence[str], star: Star, by: Sequence[str], dates: Column | None, complete: bool) -> DataFrame:
     daily = fact.groupBy(*keys).agg(F.sum(value).alias("_daily"))
     joined = daily.join(_visible(star, by, dates), "date")
@@ -68,7 +77,7 @@ def _price_rows(star: Star, dates: Column | None, series: Sequence[str] | None)
 def peak_demand(star: Star, by: Sequence[str] = (), dates: Column | None = None) -> DataFrame:
     """Largest single demand value."""
     daily = star.demand.groupBy("date").agg(F.max("demand_mwh").alias("_peak"))
-    return daily.join(_visible(star, by, dates), "date").groupBy(*by).agg(
+    return _in_context(daily, star, by, dates).groupBy(*by).agg(
         F.max("_peak").alias("peak_demand_mwh")
     )
 
@@ -90,7 +99,7 @@ def demand_yoy_r12(star: Star) -> DataFrame:
         "prior_end": prior_end,
         "prior_start": F.date_add(F.add_months(prior_end, -12), 1),
     }
-    bound = {name: anchors.select(value).scalar() for name, value in bounds.items()}
+    bound = anchors.select(F.struct(*[value.alias(name) for name, value in bounds.items()])).scalar()
     day = F.col("date")
     within = lambda span: day.between(bound[f"{span}_start"], bound[f"{span}_end"])
     sums = star.demand.agg(
@@ -118,7 +127,7 @@ def data_through(star: Star) -> DataFrame:
 def renewables_share(star: Star, by: Sequence[str] = (), dates: Column | None = None) -> DataFrame:
     """Renewable fraction (not percent) of generation; partial periods are valid."""
     daily = star.generation.groupBy("date", "technology").agg(F.sum("generation_mwh").alias("_daily"))
-    joined = daily.join(_visible(star, by, dates), "date").groupBy(*by, "technology").agg(
+    joined = _in_context(daily, star, by, dates).groupBy(*by, "technology").agg(
         F.sum("_daily").alias("_mwh")
     )
     flagged = joined.join(star.dim_technology, "technology")
@@ -133,7 +142,7 @@ def avg_price(star: Star, by: Sequence[str] = (), dates: Column | None = None, s
     daily = _price_rows(star, None, series).groupBy("date", "series").agg(
         F.sum("price_eur_mwh").alias("_sum"), F.count("price_eur_mwh").alias("_n")
     )
-    return daily.join(_visible(star, by, dates), "date").groupBy(*by).agg(
+    return _in_context(daily, star, by, dates).groupBy(*by).agg(
         F.try_divide(F.sum("_sum"), F.sum("_n")).alias("avg_price")
     )
 
