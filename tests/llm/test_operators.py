@@ -181,6 +181,36 @@ def test_agreeing_windows():
     assert compact_windows.agreeing(left, right, 10, 2).tolist() == want
 
 
+def _anchors(a, b):
+    """Every pair of places that hold the same five words."""
+    at = {tuple(b[j : j + 5]): j for j in range(len(b) - 4)}
+    return [(i, at[k]) for i in range(len(a) - 4) if (k := tuple(a[i : i + 5])) in at]
+
+
+def test_passages_inside_a_chain_that_fails():
+    words = lambda seed, n: np.random.default_rng(seed).integers(1, 1 << 62, n, dtype=np.uint64)
+    near, exact = words(1, 61), words(2, 60)
+    edited = near.copy()
+    edited[30] = 1
+    a, b = np.concatenate([near, words(3, 90), exact]), np.concatenate([edited, words(4, 90), exact])
+    got = [x[:4] for x in compact_windows.passages(a, b, _anchors(a, b))]
+    assert got == [(0, 61, 0, 61), (151, 211, 151, 211)]
+    near, other = words(5, 200), words(6, 30)
+    edited = near.copy()
+    edited[[40, 80, 120, 160]] = 1
+    a, b = np.concatenate([near, words(7, 90), other]), np.concatenate([edited, words(8, 90), other])
+    assert [x[:4] for x in compact_windows.passages(a, b, _anchors(a, b))] == [(0, 200, 0, 200)]
+
+
+def test_span_of_a_far_shift_does_not_split_a_passage():
+    words = np.random.default_rng(9).integers(1, 1 << 62, 100, dtype=np.uint64)
+    edited = words[:61].copy()
+    edited[30] = 1
+    b = np.concatenate([edited, words[61:], words[26:36], words[90:]])
+    pairs = [(0, 0), (27, 101), (31, 31)]
+    assert (0, 61) in [(x[0], x[1]) for x in compact_windows.passages(words[:61], b, pairs)]
+
+
 def _luhn(text):
     digits = [int(c) for c in reversed(text) if c.isdigit()]
     return sum(d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(digits)) % 10 == 0
