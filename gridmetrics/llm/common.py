@@ -222,6 +222,16 @@ def shingles(words: np.ndarray, size: int = 5) -> np.ndarray:
     return mix(out + np.uint64(width))
 
 
+def hash_runs(words: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every run of ``size`` words (not fewer), as signed longs, at a cost that ``size`` does not change."""
+    n = len(words) - size + 1
+    if n <= 0:
+        return np.empty(0, np.int64)
+    up, down = _power_tables(len(words) + 1)
+    sums = np.append(np.uint64(0), np.cumsum(words * up[: len(words)]))
+    return signed(mix((sums[size:] - sums[:n]) * down[:n]))
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     """The same 64 bits as Spark's signed long."""
     return x.view(np.int64)

@@ -150,6 +150,19 @@ def test_passage_twice_in_the_first_document(spark):
     assert spans == {(1, 10, 70), (1, 270, 330), (2, 30, 90), (3, 0, 60)}
 
 
+def test_exact_repeats_survive_earlier_rows_that_hold_parts(spark):
+    early, late, want = [], [], set()
+    for i in range(12):
+        shared = _prose(100 + i, 60)
+        for j, part in enumerate((shared[:45], shared[15:], shared[:30], shared[30:], shared[18:43])):
+            early.append((i, " ".join(_prose(200 + 10 * i + j, 40) + part + _prose(400 + 10 * i + j, 40))))
+        for doc, before in ((1000 + i, 30), (2000 + i, 70)):
+            late.append((doc, " ".join(_prose(doc, before) + shared + _prose(doc + 500, 40))))
+            want.add((doc, before, before + 60))
+    found = compact_windows.repeated_passages(_docs(spark, early + late)).collect()
+    assert {(r.doc_id, r.start_word, r.end_word) for r in found} == want
+
+
 def test_windows_cover_all_subsequences():
     from gridmetrics.llm.common import mix
 
@@ -221,6 +234,16 @@ def test_span_of_a_far_shift_does_not_split_a_passage():
     assert (0, 61) in [(x[0], x[1]) for x in compact_windows.passages(words[:61], b, pairs)]
 
 
+def test_hashes_of_runs():
+    from gridmetrics.llm.common import hash_runs
+
+    words = np.random.default_rng(1).integers(0, 2, 300, dtype=np.uint64)
+    hashes = hash_runs(words, 7).tolist()
+    runs = [tuple(words[i : i + 7].tolist()) for i in range(294)]
+    assert len(hashes) == 294 and len(set(zip(hashes, runs))) == len(set(hashes)) == len(set(runs))
+    assert len(hash_runs(words[:6], 7)) == 0
+
+
 def _luhn(text):
     digits = [int(c) for c in reversed(text) if c.isdigit()]
     return sum(d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(digits)) % 10 == 0
