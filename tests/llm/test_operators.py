@@ -142,12 +142,13 @@ def test_passages_found(spark):
 
 def test_passage_twice_in_the_first_document(spark):
     shared = _prose(21, 60)
-    rows = [(1, " ".join(_prose(22, 10) + shared + _prose(23, 200) + shared + _prose(24, 10))),
+    twice = _prose(22, 60) + shared + _prose(23, 60)
+    rows = [(1, " ".join(twice + _prose(24, 200) + twice)),
             (2, " ".join(_prose(25, 30) + shared)), (3, " ".join(shared + _prose(26, 30))),
             (4, " ".join(_prose(27, 60) + _prose(28, 90) + _prose(27, 60)))]
     found = compact_windows.repeated_passages(_docs(spark, rows)).collect()
     spans = {(r.doc_id, r.start_word, r.end_word) for r in found}
-    assert spans == {(1, 10, 70), (1, 270, 330), (2, 30, 90), (3, 0, 60)}
+    assert spans == {(1, 60, 120), (1, 440, 500), (2, 30, 90), (3, 0, 60)}
 
 
 def test_exact_repeats_survive_earlier_rows_that_hold_parts(spark):
