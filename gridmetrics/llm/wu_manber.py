@@ -16,6 +16,7 @@ give repeated rows; columns besides id and text are ignored.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -103,7 +104,7 @@ def windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text")
     return map_rows(named, "window binary, item string", of, "data").distinct()
 
 
-_CACHE: dict[int, list[Matcher]] = {}
+_CACHE: dict[str, list[Matcher]] = {}
 
 
 def _tables(broadcast) -> list[Matcher]:
@@ -138,7 +139,7 @@ def decontaminate(
     for chunk in range(chunks):
         mine = pairs.where(F.pmod("chunk_key", F.lit(chunks)) == chunk)
         held = [(bytes(r.window), r.item) for r in mine.select("window", "item").collect()]
-        shared = spark.sparkContext.broadcast((hash((id(pairs), chunk)), held))
+        shared = spark.sparkContext.broadcast((uuid.uuid4().hex, held))
         part = _searched(docs, shared)
         found = part if found is None else found.unionAll(part)
     pairs.unpersist()

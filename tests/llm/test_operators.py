@@ -38,6 +38,15 @@ def _prose(seed, n):
     return [f"w{x}" for x in rng.integers(0, 5000, n)]
 
 
+def test_tables_of_another_benchmark_at_the_same_address(spark, monkeypatch):
+    monkeypatch.setattr(wu_manber, "id", lambda x: 1, raising=False)
+    docs = _docs(spark, [(i, " ".join(_prose(i, 30))) for i in range(8)]).coalesce(1)
+    for i in range(8):
+        bench = spark.createDataFrame([("a", " ".join(_prose(i, 20)))], "item_id string, text string")
+        found = wu_manber.decontaminate(docs, bench).where("contaminated").collect()
+        assert [r.doc_id for r in found] == [i]
+
+
 def test_decontamination_hits(spark):
     item = _prose(1, 20)
     rows = [
