@@ -54,3 +54,23 @@ def new_only(batch: DataFrame, existing: DataFrame, identity: Sequence[str]) ->
     """Batch rows not already present under ``identity``; repeats within the batch stay."""
     seen = existing.select(*identity).distinct()
     return batch.join(seen, list(identity), "left_anti").select(*batch.columns)
+
+
+def new_by_digest(
+    batch: DataFrame, existing: DataFrame, identity: Sequence[str], digest: str
+) -> DataFrame:
+    """:func:`new_only` for frames that both carry a digest of the identity.
+
+    A digest that is not stored settles it. Only for stored digests is the identity itself
+    read and compared, so two records of one digest are still told apart.
+    """
+    stored = existing.select(digest).distinct()
+    fresh = batch.join(stored, digest, "left_anti")
+    doubtful = batch.join(stored, digest, "left_semi")
+    compared = existing.join(doubtful.select(digest).distinct(), digest, "left_semi")
+    seen = compared.select(digest, *[F.col(c).alias(f"_{c}") for c in identity]).distinct()
+    same = doubtful[digest] == seen[digest]
+    for column in identity:
+        same &= doubtful[column].eqNullSafe(seen[f"_{column}"])
+    collided = doubtful.join(seen, same, "left_anti")
+    return fresh.select(*batch.columns).unionByName(collided.select(*batch.columns))

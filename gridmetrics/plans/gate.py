@@ -8,6 +8,7 @@ from enum import StrEnum
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridmetrics.functions.dates import year_month
 from gridmetrics.operators import checks
 from gridmetrics.sources import tables
 from gridmetrics.spec import FRESHNESS_LAG_DAYS, SPECS, VERDICT_SCHEMA, VERDICT_TABLE
@@ -51,16 +52,19 @@ def run_gate(
     run_ts = run_ts or tables.utc_now()
     as_of = as_of or tables.utc_now().date()
     floor = as_of - timedelta(days=FRESHNESS_LAG_DAYS)
-    tables.ensure_table(spark, VERDICT_TABLE, VERDICT_SCHEMA)
-    known = checks.baselines(spark.table(VERDICT_TABLE), last_green=baseline == "last_green")
+    tables.ensure_table(spark, VERDICT_TABLE, VERDICT_SCHEMA, monthly=True)
+    known = checks.baselines(tables.read_table(spark, VERDICT_TABLE), last_green=baseline == "last_green")
     demand, generation, price = silver_tables(spark)
     stamped = checks.silver_verdicts(demand, generation, price, floor, known).select(
         F.lit(run_ts).cast("timestamp").alias("run_ts"), F.lit(stage).alias("stage"), "*"
-    )
-    # A couple of dozen verdicts: one file.
+    ).withColumn(tables.MONTH, year_month(F.col("run_ts")))
+    # A couple of dozen verdicts: one file a run, and the month's files are made one.
     tables.append(spark, VERDICT_TABLE, stamped.coalesce(1))
+    tables.compact(spark, VERDICT_TABLE, [f"{run_ts:%Y-%m}"])
     this_run = (F.col("run_ts") == F.lit(run_ts).cast("timestamp")) & (F.col("stage") == stage)
-    failed = checks.failures(spark.table(VERDICT_TABLE).filter(this_run)).orderBy(
+    this_month = F.col(tables.MONTH) == f"{run_ts:%Y-%m}"
+    stored = tables.months_of(spark, VERDICT_TABLE).filter(this_month & this_run)
+    failed = checks.failures(stored.drop(tables.MONTH)).orderBy(
         "table", "check", "column"
     ).collect()
     if failed:

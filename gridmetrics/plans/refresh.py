@@ -34,7 +34,7 @@ def ingest(
         last = work_plan.check_date(end, "end")
         plan = work_plan.backfill_plan(feeds, work_plan.check_date(start, "start"), last)
     else:
-        tables.ensure_table(spark, WATERMARK_TABLE, WATERMARK_SCHEMA)
+        tables.ensure_rebuilt(spark, WATERMARK_TABLE, WATERMARK_SCHEMA)
         last = work_plan.day_before(as_of or tables.utc_now().date())
         plan = work_plan.daily_plan(feeds, spark.table(WATERMARK_TABLE), last)
     fetch(plan)
@@ -54,11 +54,11 @@ def refresh(
         files = landing.read_landed(spark, root, spec.name, months)
         silver.load_indicator(spark, files, spec.name)
     gate.run_gate(spark, "silver", as_of)
-    if months is None or not spark.catalog.tableExists(gold.STAR_TABLES["price"]):
+    if months is None or not gold.can_update(spark):
         gold.build_star(spark)
+        gold.build_marts(spark)
     else:
-        gold.update_star(spark, touched_months(months))
-    gold.build_marts(spark)
+        gold.update_gold(spark, touched_months(months))
 
 
 def touched_months(months: Sequence[date]) -> list[str]:

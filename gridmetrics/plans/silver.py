@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gridmetrics.operators.parse import QUARANTINE, ROW, UNUSABLE, all_records, split
@@ -23,22 +23,20 @@ UNUSABLE_SCHEMA = (
 class UnusableFiles(ValueError):
     """Some files could not be read as envelopes; no row and no quarantined record was written.
 
-    All of them are in ``UNUSABLE_TABLE`` under ``found_at``; the message says how many.
+    All of them are in ``UNUSABLE_TABLE``; the message says how many parts.
     """
 
-    def __init__(self, indicator: str, count: int, found_at: datetime) -> None:
-        self.count, self.found_at = count, found_at
-        super().__init__(
-            f"{indicator}: {count} unusable envelope part(s), all in {UNUSABLE_TABLE} "
-            f"with found_at = {found_at}"
-        )
+    def __init__(self, indicator: str, count: int) -> None:
+        self.count = count
+        super().__init__(f"{indicator}: {count} unusable envelope part(s), all in {UNUSABLE_TABLE}")
 
 
 def ensure_silver(spark: SparkSession) -> None:
     """Create the silver tables and the quarantine, empty but typed."""
     for spec in SPECS:
         tables.ensure_table(spark, spec.table, spec.schema, monthly=True)
-    tables.ensure_table(spark, QUARANTINE_TABLE, QUARANTINE_SCHEMA)
+    tables.ensure_table(spark, QUARANTINE_TABLE, QUARANTINE_SCHEMA, by="indicator")
+    tables.ensure_table(spark, UNUSABLE_TABLE, UNUSABLE_SCHEMA, by="indicator")
 
 
 def newest_first() -> list:
@@ -52,40 +50,46 @@ def load_indicator(
     indicator: str,
     loaded_at: datetime | None = None,
     append_repeats: bool = False,
+    skip_unusable: bool = False,
 ) -> dict[str, int]:
     """Parse envelopes, quarantine what did not type, upsert the rest; idempotent.
 
-    The files are parsed once into a written staging table that all following steps read.
-    Unusable files are all listed in a table and stop the load before rows are written. By default a quarantined
-    record already stored by an earlier run is not stored again; ``append_repeats`` stores
-    it anyway.
+    The files are parsed once into a written staging table, counted by that write, that all
+    following steps read. Unusable files are listed in a table, each once, and stop the load
+    before rows are written; with ``skip_unusable`` the other files are loaded. By default a
+    quarantined record already stored by an earlier run is not stored again;
+    ``append_repeats`` stores it anyway. Tables that a load appends to are compacted.
     """
     spec = spec_for(indicator)
     ensure_silver(spark)
-    with staged(all_records(files, indicator)) as records:
-        found = {row["kind"]: row["count"] for row in records.groupBy("kind").count().collect()}
-        counts = {kind: found.get(kind, 0) for kind in (ROW, QUARANTINE, UNUSABLE)}
+    counted, kinds = Observation(), (ROW, QUARANTINE, UNUSABLE)
+    per_kind = [F.count_if(F.col("kind") == kind).alias(kind) for kind in kinds]
+    with staged(all_records(files, indicator).observe(counted, *per_kind)) as records:
+        counts = {kind: counted.get.get(kind, 0) for kind in kinds}
         logger.info("%s: %s", indicator, counts)
         parsed = split(records)
+        stamp = F.lit(loaded_at or tables.utc_now()).cast("timestamp")
         if counts[UNUSABLE]:
-            found_at = loaded_at or tables.utc_now()
             listed = parsed.unusable.select(
-                F.lit(indicator).alias("indicator"),
-                "file",
-                "problem",
-                F.lit(found_at).cast("timestamp").alias("found_at"),
+                F.lit(indicator).alias("indicator"), "file", "problem", stamp.alias("found_at")
             )
-            tables.ensure_table(spark, UNUSABLE_TABLE, UNUSABLE_SCHEMA)
-            tables.append(spark, UNUSABLE_TABLE, listed)
-            raise UnusableFiles(indicator, counts[UNUSABLE], found_at)
+            identity = ["indicator", "file", "problem"]
+            tables.append_new(spark, UNUSABLE_TABLE, listed, identity, indicator=indicator)
+            tables.compact(spark, UNUSABLE_TABLE, [indicator])
+            if not skip_unusable:
+                raise UnusableFiles(indicator, counts[UNUSABLE])
         if counts[QUARANTINE]:
-            rejected = parsed.quarantined.withColumn(
-                "loaded_at", F.lit(loaded_at or tables.utc_now()).cast("timestamp")
-            )
+            rejected = parsed.quarantined.withColumn("loaded_at", stamp)
+            identity = ["indicator", "raw", "reason"]
             if append_repeats:
-                tables.append(spark, QUARANTINE_TABLE, rejected)
+                digest = F.xxhash64(*identity).alias(tables.DIGEST)
+                tables.append(spark, QUARANTINE_TABLE, rejected.select("*", digest))
             else:
-                tables.append_new(spark, QUARANTINE_TABLE, rejected, ["indicator", "raw", "reason"])
+                tables.append_new(spark, QUARANTINE_TABLE, rejected, identity, indicator=indicator)
+            tables.compact(spark, QUARANTINE_TABLE, [indicator])
         if counts[ROW]:
-            tables.upsert(spark, spec.table, parsed.rows, spec.key, spec.month_of, newest_first())
+            months = tables.upsert(
+                spark, spec.table, parsed.rows, spec.key, spec.month_of, newest_first()
+            )
+            tables.compact(spark, spec.table, months)
     return counts

@@ -73,7 +73,7 @@ BY_NAME = {spec.name: spec for spec in SPECS}
 QUARANTINE_TABLE = "silver.quarantine"
 QUARANTINE_SCHEMA = (
     "raw STRING NOT NULL, indicator STRING NOT NULL, "
-    "reason STRING NOT NULL, loaded_at TIMESTAMP NOT NULL"
+    "reason STRING NOT NULL, loaded_at TIMESTAMP NOT NULL, digest BIGINT NOT NULL"
 )
 WATERMARK_TABLE = "bronze.ctl_watermark"
 WATERMARK_SCHEMA = "indicator STRING NOT NULL, last_end STRING NOT NULL, updated_at TIMESTAMP NOT NULL"

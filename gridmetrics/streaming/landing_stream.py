@@ -24,13 +24,14 @@ def load_new(spark: SparkSession, root: str, indicator: str, checkpoint: str) ->
     """Load every file not seen under ``checkpoint`` yet, then stop.
 
     A micro-batch that is retried upserts the same keys again and stores no quarantine
-    record twice.
+    record twice. An unusable file is listed and the rest of its batch is loaded: failing
+    would only bring the same file back.
     """
     spec_for(indicator)
     return (
         new_envelopes(spark, f"{root}/{indicator}/*/*/*.json")
         .writeStream.foreachBatch(
-            lambda files, _: load_indicator(files.sparkSession, files, indicator) and None
+            lambda files, _: load_indicator(files.sparkSession, files, indicator, skip_unusable=True) and None
         )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
