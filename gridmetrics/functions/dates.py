@@ -43,16 +43,21 @@ def _week_date(text: Column) -> Column:
 
 
 def iso_text(text: Column) -> Column:
-    """Rewrite any ISO 8601 date or date-time to the spelling Spark casts; else NULL."""
+    """Rewrite any ISO 8601 date or date-time to the spelling Spark casts; else NULL.
+
+    The rare spellings are rewritten inside a lambda, which keeps their many expressions out of
+    the generated method: that one stays short enough for the JVM to compile.
+    """
+    others = F.transform(F.array(text), _rewritten)
+    return F.when(text.rlike(_PLAIN), text).otherwise(F.element_at(others, 1))
+
+
+def _rewritten(text: Column) -> Column:
     calendar = F.concat(
         F.regexp_replace(text, _CALENDAR, "$1$4-$2$5-$3$6"), _clock(text, _CALENDAR)
     )
     week = F.concat(F.date_format(_week_date(text), "yyyy-MM-dd"), _clock(text, _WEEK))
-    return (
-        F.when(text.rlike(_PLAIN), text)
-        .when(text.rlike(_CALENDAR), calendar)
-        .when(text.rlike(_WEEK), week)
-    )
+    return F.when(text.rlike(_CALENDAR), calendar).when(text.rlike(_WEEK), week)
 
 
 def instant(iso: Column) -> Column:

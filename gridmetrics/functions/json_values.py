@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from gridmetrics.spec import ACCENTED, TRUE_WORDS, UNACCENTED
 
+# The characters that Unicode counts as white space.
+_WHITE = "".join(map(chr, (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 _NUMBER = r"^(?:TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL\(.*)"
 
 
@@ -33,7 +35,7 @@ def text_or_null(value: Column) -> Column:
 def normalized(text: Column) -> Column:
     """Accents removed, outer white space trimmed, lower case."""
     plain = F.translate(text, ACCENTED, UNACCENTED)
-    return F.lower(F.regexp_replace(plain, r"(?U)^\s+|\s+$", ""))
+    return F.lower(F.btrim(plain, F.lit(_WHITE)))
 
 
 def flag_is_true(value: Column) -> Column:

@@ -1,8 +1,9 @@
-"""Envelopes -> typed rows and quarantine records, in one narrow plan.
+"""Envelopes -> typed rows and quarantine records, with one shuffle of raw series.
 
-A file is exploded into its series and each series into its entries; every entry becomes
-one record whose ``kind`` says what it is. The price grain is worked out inside the series
-record, so parsing never shuffles.
+A file is exploded into its series, the series are dealt over the cluster by file and position, and
+each is exploded into its entries; every entry becomes one record whose ``kind`` says what it is.
+That one shuffle of raw text spreads a huge file, or many small ones that one task reads, over all
+cores; all typing comes after it. The price grain is worked out where a series was dealt to.
 
 * ``row``: a typed observation;
 * ``quarantine``: something that could not be typed, with its raw JSON and a reason;
@@ -69,6 +70,7 @@ def explode_series(files: DataFrame) -> DataFrame:
     series = files.select(
         "file", F.posexplode(F.coalesce(included, _stand_in())).alias("series_pos", "series")
     )
+    series = series.repartition("file", "series_pos")
     head = F.from_json(
         "series",
         "attributes struct<title variant, type variant, composite variant, values array<string>>",
@@ -103,8 +105,8 @@ def is_technology(head: Column) -> Column:
     return F.coalesce(kind.isin(*TECHNOLOGY_TYPES), F.lit(False))
 
 
-# An entry is typed in three steps. Each takes the previous step's struct, so that inside a
-# lambda, where common subexpressions are not shared, nothing is evaluated twice.
+# An entry is typed in three steps. Each takes the previous step's struct, so that nothing is
+# evaluated twice and no generated method grows beyond what the JVM compiles.
 
 
 def _open(raw: Column) -> Column:
@@ -266,20 +268,16 @@ def price_records(files: DataFrame) -> DataFrame:
     wanted = F.col("series").isNotNull() | F.col("problem").isNotNull()
     series = series.withColumn("entries", F.when(wanted, F.col("entries")))
     kept = ["file", "series_pos", "problem", "series"]
-    step = series.select(*kept, F.transform("entries", _open).alias("xs"))
-    step = step.withColumn("xs", F.transform("xs", _fields))
-    step = step.withColumn("xs", F.transform("xs", _typed))
-    step = step.withColumn(
-        "xs",
-        F.transform("xs", lambda x: F.struct(x.alias("x"), entry_problem(x).alias("entry_problem"))),
+    typed = _explode_entries(series, kept)
+    # The series were dealt by these keys, so gathering a series again moves nothing.
+    whole = typed.groupBy(*kept).agg(
+        F.collect_list(F.struct("entry_pos", "x", "entry_problem")).alias("xs")
     )
     good = F.filter("xs", lambda entry: entry["entry_problem"].isNull())
-    step = step.withColumn(
-        "period_minutes", grain.modal_minutes(F.transform(good, lambda entry: entry["x"]["instant"]))
+    instants = F.transform(good, lambda entry: entry["x"]["instant"])
+    entries = whole.withColumn("period_minutes", grain.modal_minutes(instants)).select(
+        *kept, "period_minutes", F.inline("xs")
     )
-    entries = step.select(
-        *kept, "period_minutes", _each("xs").alias("entry_pos", "entry")
-    ).select(*kept, "period_minutes", "entry_pos", "entry.x", "entry.entry_problem")
     x = F.col("x")
     return _records(
         entries,

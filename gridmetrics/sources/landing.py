@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Iterable
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,28 +47,52 @@ def without_bom(files: DataFrame) -> DataFrame:
     return files.withColumn("value", F.regexp_replace("value", _BOM, ""))
 
 
-def land(envelopes: DataFrame, root: str) -> None:
-    """Write ``(indicator, year, month, value)`` envelopes, replacing exactly those months.
+def land(envelopes: DataFrame, root: str) -> list[str]:
+    """Write ``(indicator, year, month, value)`` envelopes to the files that :func:`raw_path` names.
 
-    The layout is ``indicator=/year=/month=``; ``maxRecordsPerFile`` keeps one envelope per
-    file so the files read back with :func:`read_landed_partitions`. Months absent from the
-    input are left alone.
+    Each file replaces that of the same indicator and month; other months are left alone.
+    Tasks write to a folder beside the landing zone; only when all is written the files are moved,
+    each by one rename, so a reader finds the old or the new file. Returns the paths; their number is
+    bounded by indicators and months. Two envelopes of one month are an error before any move.
     """
-    (
-        envelopes.select("value", "indicator", "year", "month")
-        .repartition("indicator", "year", "month")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", 1)
-        .partitionBy("indicator", "year", "month")
-        .text(root)
-    )
-
-
-def read_landed_partitions(spark: SparkSession, root: str) -> DataFrame:
-    """Envelopes written by :func:`land`, with the partition columns for pruning."""
-    return without_bom(
-        spark.read.text(root, wholetext=True).select(
-            F.col("_metadata.file_path").alias("file"), "indicator", "year", "month", "value"
-        )
-    )
+    spark = envelopes.sparkSession
+    keys = ["indicator", "year", "month"]
+    folder = f"{root}/_landing/{uuid.uuid4().hex}"
+    envelopes.select("value", *keys).repartition(*keys).write.option("maxRecordsPerFile", 1).partitionBy(
+        *keys
+    ).text(folder)
+    named = {}
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    for (written,) in listed.select("path").collect():
+        indicator, year, month = re.search(r"/indicator=([^/]+)/year=(\d+)/month=(\d+)/", written).groups()
+        target = raw_path(root, unquote(indicator), date(int(year), int(month), 1))
+        if target in named:
+            raise ValueError(f"two envelopes for {target}")
+        named[target] = written
+    files = _Files(spark, root)
+    for target, written in named.items():
+        files.move(written, target)
+    files.delete(folder)
+    return sorted(named)
+
+
+class _Files:
+    """Renames and deletions in the file system of ``root``."""
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.jvm, self.gateway = spark._jvm, spark.sparkContext._gateway
+        self.hadoop = self.jvm.org.apache.hadoop.fs
+        conf = spark._jsc.hadoopConfiguration()
+        where = self.hadoop.Path(root).getFileSystem(conf).makeQualified(self.hadoop.Path(root))
+        self.context = self.hadoop.FileContext.getFileContext(where.toUri(), conf)
+
+    def move(self, source: str, target: str) -> None:
+        to = self.hadoop.Path(target)
+        self.context.mkdir(to.getParent(), self.hadoop.permission.FsPermission.getDirDefault(), True)
+        rename = getattr(self.hadoop, "Options$Rename")
+        options = self.gateway.new_array(rename, 1)
+        options[0] = rename.OVERWRITE
+        self.context.rename(self.hadoop.Path(source), to, options)
+
+    def delete(self, folder: str) -> None:
+        self.context.delete(self.hadoop.Path(folder), True)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
+import re
 import json
 from collections import Counter
 from datetime import date, datetime, timedelta, timezone
@@ -347,9 +350,24 @@ def test_text_normalisation_and_flags(spark):
     assert tuple(row) == ("generacion total", False, True, False)
 
 
-def test_parse_is_narrow(files):
+def test_series_are_dealt_once_and_typed_after_it(files):
     for indicator in (DEMAND, GENERATION, PRICES):
         parsed = parse.parse(files({"a": envelope()}), indicator)
         plan = parsed.rows._jdf.queryExecution().executedPlan().toString()
-        assert "Exchange" not in plan
+        assert plan.count("Exchange") == 1
+        below = plan[plan.index("Exchange hashpartitioning(file") :]
+        assert "variant" not in below, "only the list of series is decoded before they are dealt"
         assert "Python" not in plan
+
+
+def test_no_generated_method_is_too_long_to_be_compiled(spark, files):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for indicator in (DEMAND, GENERATION, PRICES):
+            records = parse.all_records(files({"a": envelope()}), indicator)
+            with contextlib.redirect_stdout(io.StringIO()) as shown:
+                records.explain("codegen")
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", shown.getvalue())]
+            assert sizes and max(sizes) < 8000, (indicator, sizes)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridmetrics.operators import merge
 from gridmetrics.sources import landing, tables
 from gridmetrics.sources.staging import shared_folder, staged
-from gridmetrics.spec import GENERATION, WATERMARK_TABLE, spec_for
+from gridmetrics.spec import GENERATION, QUARANTINE_SCHEMA, QUARANTINE_TABLE, WATERMARK_TABLE, spec_for
 
 SPEC = spec_for(GENERATION)
 
@@ -98,13 +98,21 @@ def test_delete_keeps_rows_with_an_unknown_predicate(spark):
     assert {r["t"] for r in merge.delete_where(df, F.col("t") == "a").collect()} == {"b", None}
 
 
-def test_compact_keeps_content(lake):
-    for i in range(3):
-        upsert(lake, ("2024-01-01", f"t{i}", i))
-    expected = content(lake)
-    tables.compact(lake, SPEC.table, ["2024-01"])
-    assert content(lake) == expected
-    assert lake.table(SPEC.table).select(F.input_file_name()).distinct().count() == 1
+def test_compaction_rewrites_only_months_of_small_files(lake):
+    tables.ensure_table(lake, SPEC.table, SPEC.schema, monthly=True)
+    add = lambda day, technology: batch(lake, (day, technology, 1)).withColumn("year_month", F.lit(day[:7]))
+    for technology in "abc":
+        tables.append(lake, SPEC.table, add("2024-01-01", technology).coalesce(1))
+    tables.append(lake, SPEC.table, add("2024-02-01", "a").coalesce(1))
+    files = lambda: {r["part"]: r["files"] for r in tables.file_sizes(lake, SPEC.table).collect()}
+    expected, before = content(lake), data_files(lake)
+    assert files() == {"2024-01": 3, "2024-02": 1}
+    assert tables.compact(lake, SPEC.table, ["2024-02"]) == []
+    assert tables.compact(lake, SPEC.table, small=1) == [], "files of this size are large enough"
+    assert tables.compact(lake, SPEC.table) == ["2024-01"]
+    assert files() == {"2024-01": 1, "2024-02": 1} and content(lake) == expected
+    assert data_files(lake)["2024-02"] == before["2024-02"], "an untouched month keeps its files"
+    assert tables.compact(lake, SPEC.table) == [], "nothing is left to do"
 
 
 def test_rebuild_replaces_schema_and_can_read_itself(lake):
@@ -121,6 +129,76 @@ def test_failed_rebuild_leaves_the_last_good_table(lake):
     assert lake.table("gold.t").count() == 3
 
 
+def test_rebuild_that_stops_between_its_steps_leaves_the_last_good_table(lake, monkeypatch):
+    mark = lambda end: lake.createDataFrame(
+        [("a", end, datetime(2024, 2, 1))], "indicator STRING, last_end STRING, updated_at TIMESTAMP"
+    )
+    tables.rebuild(lake, "gold.t", lake.range(3).toDF("a"))
+    tables.upsert_watermarks(lake, mark("2024-01-31T23:59"))
+
+    def stop(*_):
+        raise OSError("stopped")
+
+    monkeypatch.setattr(tables, "_switch", stop)
+    with pytest.raises(OSError):
+        tables.rebuild(lake, "gold.t", lake.range(9).selectExpr("id AS b", "1 AS c"))
+    with pytest.raises(OSError):
+        tables.upsert_watermarks(lake, mark("2024-02-29T23:59"))
+    assert lake.table("gold.t").columns == ["a"] and lake.table("gold.t").count() == 3
+    assert lake.table(WATERMARK_TABLE).first()["last_end"] == "2024-01-31T23:59"
+    monkeypatch.undo()
+    tables.upsert_watermarks(lake, mark("2024-02-29T23:59"))
+    assert lake.table(WATERMARK_TABLE).first()["last_end"] == "2024-02-29T23:59"
+    for n in (4, 5, 6):
+        tables.rebuild(lake, "gold.t", lake.range(n).toDF("a"))
+    assert lake.table("gold.t").count() == 6
+    kept = lake.sql("SHOW TABLES IN gold LIKE 't__v_*'").count()
+    assert kept == 2, "the current version and the one before it, for readers that began earlier"
+
+
+def test_rebuilt_monthly_table_takes_months_and_prunes(lake):
+    frame = lambda *r: lake.createDataFrame(list(r), "v INT, year_month STRING")
+    assert tables.rebuild(lake, "gold.m", frame((1, "2024-01"), (2, "2024-02"), (3, "2024-03"))) == 3
+    tables.replace_months(lake, "gold.m", frame((20, "2024-02"), (99, "2024-09")), ["2024-02", "2024-03"])
+    assert sorted(tuple(r) for r in lake.table("gold.m").collect()) == [(1, "2024-01"), (20, "2024-02")]
+    plan = tables.months_of(lake, "gold.m", ["2024-01"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year_month" in plan
+
+
+def quarantined(lake, indicator, *raws):
+    rows = [(raw, indicator, "why", datetime(2024, 1, 1)) for raw in raws]
+    return lake.createDataFrame(rows, "raw STRING, indicator STRING, reason STRING, loaded_at TIMESTAMP")
+
+
+def test_quarantine_is_keyed_by_digest_and_reads_one_indicator(lake):
+    tables.ensure_table(lake, QUARANTINE_TABLE, QUARANTINE_SCHEMA, by="indicator")
+    identity = ["indicator", "raw", "reason"]
+    put = lambda indicator, *raws: tables.append_new(
+        lake, QUARANTINE_TABLE, quarantined(lake, indicator, *raws), identity, indicator=indicator
+    )
+    put("d", "x", "x", "y")
+    put("g", "x")
+    put("d", "x", "z")
+    read = lambda: sorted((r["indicator"], r["raw"]) for r in lake.table(QUARANTINE_TABLE).collect())
+    assert read() == [("d", "x"), ("d", "x"), ("d", "y"), ("d", "z"), ("g", "x")]
+    put("d", "x", "z")
+    assert len(read()) == 5, "a second run adds nothing"
+    own = lake.table(QUARANTINE_TABLE).filter("indicator = 'd'")
+    new = quarantined(lake, "d", "q").withColumn("digest", F.xxhash64(*identity))
+    plan = merge.new_by_digest(new, own, identity, "digest")._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert scans and all("indicator" in scan.split("PartitionFilters")[1] for scan in scans)
+    assert any("ReadSchema: struct<digest:bigint>" in scan for scan in scans), "digests settle it without texts"
+
+
+def test_equal_digests_of_different_records_are_told_apart(spark):
+    rows = lambda *r: spark.createDataFrame(list(r), "raw STRING, digest LONG")
+    existing = rows(("a", 1), ("b", 2), (None, 3))
+    batch = rows(("a", 1), ("other", 1), ("c", 4), (None, 3), ("d", 3))
+    new = merge.new_by_digest(batch, existing, ["raw"], "digest").collect()
+    assert sorted(r["raw"] for r in new) == ["c", "d", "other"]
+
+
 def test_append_new_skips_what_is_stored_but_keeps_repeats(lake):
     tables.ensure_table(lake, "silver.log", "raw STRING, at INT")
     rows = lambda *r: lake.createDataFrame(list(r), "raw STRING, at INT")
@@ -170,12 +248,15 @@ def test_landing_replaces_exactly_its_months(spark, tmp_path):
     root = str(tmp_path / "raw")
     rows = lambda *r: spark.createDataFrame(list(r), "indicator STRING, year INT, month INT, value STRING")
     landing.land(rows(("d", 2024, 1, "{\n1}"), ("d", 2024, 2, "{2}"), ("g", 2024, 1, "{3}")), root)
-    landing.land(rows(("d", 2024, 2, "﻿{22}")), root)
-    df = landing.read_landed_partitions(spark, root)
-    assert sorted((r["indicator"], r["month"], r["value"].strip()) for r in df.collect()) == [
-        ("d", 1, "{\n1}"), ("d", 2, "{22}"), ("g", 1, "{3}"),
-    ]
-    assert df.filter("month = 2").count() == 1
+    paths = landing.land(rows(("d", 2024, 2, "\ufeff{22}")), root)
+    assert paths == [landing.raw_path(root, "d", date(2024, 2, 1))]
+    read = lambda *a: sorted((r["file"][-len("d_202401.json") :], r["value"].strip()) for r in landing.read_landed(spark, root, *a).collect())
+    assert read("d") == [("d_202401.json", "{\n1}"), ("d_202402.json", "{22}")]
+    assert read("d", [date(2024, 2, 1)]) == [("d_202402.json", "{22}")]
+    assert read("g") == [("g_202401.json", "{3}")]
+    with pytest.raises(ValueError, match="two envelopes"):
+        landing.land(rows(("d", 2024, 2, "{4}"), ("d", 2024, 2, "{5}")), root)
+    assert read("d") == [("d_202401.json", "{\n1}"), ("d_202402.json", "{22}")]
 
 
 def test_whole_files_with_and_without_a_bom(spark, tmp_path):

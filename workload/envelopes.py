@@ -159,4 +159,5 @@ def customer_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_rows(df: DataFrame, file: Column, text: Column) -> DataFrame:
-    return df.select(file.alias("file"), text.alias("value"))
+    """One file per row, lying anywhere in the cluster, as landed files do."""
+    return df.repartition(file).select(file.alias("file"), text.alias("value"))
