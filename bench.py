@@ -1,8 +1,7 @@
 """Time the headline queries; prints one JSON line.
 
-Each query runs to completion into a no-op sink. The first two also write the silver tables
-(demand, generation) that later queries scan. ``BENCH_SF_DIR`` and ``BENCH_CPUS`` choose data
-and threads.
+Each query runs to completion into a no-op sink, from the given tables on: none reads what another
+one wrote. ``BENCH_SF_DIR`` and ``BENCH_CPUS`` choose data and threads.
 """
 
 from __future__ import annotations

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmetrics.operators.reports import daily_ratio
-from gridmetrics.operators.star import Star
+from gridmetrics.operators.summaries import Days
 from gridmetrics.spec import (
     GENERATION_LOW,
     MAX_NULL_PCT,
@@ -27,6 +27,7 @@ from gridmetrics.spec import (
     RATIO_LOW,
 )
 
+# Statuses, check names and detail texts (in the functions below) are stored output.
 PASS, FAIL = "PASS", "FAIL"
 ROW_COUNT = "row_count"
 
@@ -206,25 +207,30 @@ def _violations(check: str, table: str, column: str | None, counted: DataFrame)
     return counted.select(F.inline(F.array(row)))
 
 
-def star_verdicts(star: Star, share_mart: DataFrame) -> DataFrame:
-    """Invariants of the star: gapless, no orphans, unique technologies, sane monthly share."""
+def star_verdicts(
+    days: Days, dim_date: DataFrame, dim_technology: DataFrame, share_mart: DataFrame
+) -> DataFrame:
+    """Invariants of the star: gapless, no orphans, unique technologies, sane monthly share.
+
+    ``days`` are the facts reduced to days, from one scan each; every check reads those.
+    """
     n = F.count(F.lit(1)).alias("n")
-    gap = star.dim_date.agg(
+    gap = dim_date.agg(
         (F.datediff(F.max("date"), F.min("date")) + 1 - F.count(F.lit(1))).alias("n")
     )
     parts = [_violations("calendar_gapless", "gold.dim_date", "date", gap)]
     # One orphan test per relationship; distinct keys meet the dimension, not fact rows.
     for table, fact, key, dimension in (
-        ("gold.fact_demand_daily", star.demand, "date", star.dim_date),
-        ("gold.fact_generation_daily", star.generation, "date", star.dim_date),
-        ("gold.fact_price_hourly", star.price, "date", star.dim_date),
-        ("gold.fact_generation_daily", star.generation, "technology", star.dim_technology),
+        ("gold.fact_demand_daily", days.demand, "date", dim_date),
+        ("gold.fact_generation_daily", days.generation, "date", dim_date),
+        ("gold.fact_price_hourly", days.price, "date", dim_date),
+        ("gold.fact_generation_daily", days.generation, "technology", dim_technology),
     ):
-        lost = fact.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).join(
+        lost = fact.groupBy(key).agg(F.sum("n_rows").alias("rows")).join(
             dimension.select(key).distinct(), key, "left_anti"
         )
         parts.append(_violations("no_orphans", table, key, lost.agg(F.sum("rows").alias("n"))))
-    doubled = star.dim_technology.groupBy("technology").agg(F.count(F.lit(1)).alias("rows"))
+    doubled = dim_technology.groupBy("technology").agg(F.count(F.lit(1)).alias("rows"))
     parts.append(
         _violations("unique_key", "gold.dim_technology", "technology", doubled.filter("rows > 1").agg(n))
     )
@@ -237,29 +243,26 @@ def star_verdicts(star: Star, share_mart: DataFrame) -> DataFrame:
     )
     parts.append(_violations("share_in_open_range", mart, "renewables_share_pct", share_mart.filter(outside).agg(n)))
     # The stored mart against the share recomputed through the star.
-    monthly = star.generation.groupBy("date", "technology").agg(F.sum("generation_mwh").alias("_mwh"))
+    renewable = F.sum(F.when(F.col("is_renewable"), F.col("_mwh")).otherwise(0.0))
     monthly = (
-        monthly.join(star.dim_date.select("date", "year", "month"), "date")
+        days.generation.join(dim_date.select("date", "year", "month"), "date")
         .groupBy("year", "month", "technology")
-        .agg(F.sum("_mwh").alias("_mwh"))
-        .join(star.dim_technology, "technology")
+        .agg(F.sum("mwh").alias("_mwh"))
+        .join(dim_technology, "technology")
         .groupBy("year", "month")
-        .agg(
-            F.round(F.sum(F.when(F.col("is_renewable"), F.col("_mwh")).otherwise(0.0)), 3).alias("_renewable")
-        )
+        .agg(F.round(renewable, 3).alias("_renewable"))
     )
     differs = F.coalesce(F.abs(F.col("renewable_mwh") - F.col("_renewable")) > 0.0015, F.lit(True))
     off = share_mart.join(monthly, ["year", "month"], "full_outer").filter(differs)
     parts.append(_violations("mart_equals_star", mart, "renewable_mwh", off.agg(n)))
     # A month is whole when it has as many distinct days as the calendar says, per flag.
-    days = star.dim_date.groupBy("year", "month").agg(F.count(F.lit(1)).alias("_days"))
+    expected = dim_date.groupBy("year", "month").agg(F.count(F.lit(1)).alias("_days"))
     covered = (
-        star.generation.select("date", "technology").distinct()
-        .join(star.dim_technology, "technology")
+        days.generation.join(dim_technology, "technology")
         .select("date", "is_renewable").distinct()
         .groupBy(F.year("date").alias("year"), F.month("date").alias("month"), "is_renewable")
         .agg(F.count(F.lit(1)).alias("_covered"))
     )
-    short = covered.join(days, ["year", "month"]).filter("_covered <> _days")
+    short = covered.join(expected, ["year", "month"]).filter("_covered <> _days")
     parts.append(_violations("day_count_complete", "gold.fact_generation_daily", "date", short.agg(n)))
     return reduce(DataFrame.unionByName, parts)

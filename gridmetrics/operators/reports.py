@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gridmetrics.operators import measures
 from gridmetrics.operators.marts import by_month_technology
-from gridmetrics.operators.star import Star
+from gridmetrics.operators.star import Star, within
 from gridmetrics.spec import DEFAULT_SERIES, SPOT_SERIES
 
 # --- report visuals -------------------------------------------------------------------
@@ -56,11 +56,15 @@ def price_series(star: Star) -> DataFrame:
 # --- proofs and repair diagnostics ----------------------------------------------------
 
 
-def row_counts(objects: Mapping[str, DataFrame]) -> DataFrame:
-    """One labelled count per object."""
+def row_counts(objects: Mapping[str, DataFrame], summed: Mapping[str, DataFrame] = {}) -> DataFrame:
+    """One labelled count per object; ``summed`` objects are given by a summary with ``n_rows``."""
+    rows = F.count(F.lit(1))
+    total = F.coalesce(F.sum("n_rows"), F.lit(0))
+    counted = [(name, df, rows) for name, df in objects.items()]
+    counted += [(name, df, total) for name, df in summed.items()]
     counts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("object_name"), "row_count")
-        for name, df in objects.items()
+        df.agg(n.alias("row_count")).select(F.lit(name).alias("object_name"), "row_count")
+        for name, df, n in counted
     ]
     return reduce(DataFrame.unionByName, counts).orderBy("object_name")
 
@@ -81,9 +85,8 @@ def orphans(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
 def star_month(star: Star, year: int, month: int) -> DataFrame:
     """Fact x both dimensions for one month, split by the renewable flag."""
     first = F.make_date(F.lit(year), F.lit(month), F.lit(1))
-    in_month = F.col("date").between(first, F.last_day(first))
     daily = (
-        star.generation.filter(in_month)
+        within(star.generation, first, F.last_day(first))
         .groupBy("date", "technology")
         .agg(F.sum("generation_mwh").alias("_mwh"))
     )
@@ -120,16 +123,17 @@ def technology_damage(silver_generation: DataFrame, technology: str) -> DataFram
 def daily_ratio(generation: DataFrame, demand: DataFrame) -> DataFrame:
     """Generation over demand on days present in both; generation is summed before the join."""
     produced = generation.groupBy("date").agg(F.sum("value").alias("produced"))
-    return produced.join(demand.withColumnRenamed("value", "demanded"), "date").select(
+    demanded = demand.select("date", F.col("value").alias("demanded"))
+    return produced.join(demanded, "date").select(
         "date", "produced", "demanded", F.try_divide("produced", "demanded").alias("ratio")
     )
 
 
 def recent_ratio(generation: DataFrame, demand: DataFrame, as_of: date, days: int = 40) -> DataFrame:
     """Post-repair ratio per day, rounded, from ``days`` before ``as_of``."""
-    recent = F.col("date") >= F.date_sub(F.lit(as_of), days)
+    recent = (F.date_sub(F.lit(as_of), days), F.lit(date.max))
     return (
-        daily_ratio(generation.filter(recent), demand.filter(recent))
+        daily_ratio(within(generation, *recent), within(demand, *recent))
         .select("date", F.round("ratio", 2).alias("gen_over_demand"))
         .orderBy("date")
     )
@@ -149,7 +153,7 @@ def monthly_totals(fact_demand: DataFrame) -> DataFrame:
 def share_of_month(star: Star, year: int, month: int) -> DataFrame:
     """Renewable percentage of one month."""
     first = F.make_date(F.lit(year), F.lit(month), F.lit(1))
-    one = star.generation.filter(F.col("date").between(first, F.last_day(first)))
+    one = within(star.generation, first, F.last_day(first))
     flagged = by_month_technology(one).join(star.dim_technology, "technology")
     renewable = F.sum(F.when(F.col("is_renewable"), F.col("mwh")).otherwise(F.lit(0.0)))
     return flagged.agg((F.try_divide(renewable, F.sum("mwh")) * 100).alias("renewables_share_pct"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmetrics.functions.dates import civil_date
@@ -22,6 +22,22 @@ class Star(NamedTuple):
     dim_technology: DataFrame
 
 
+MONTH = "year_month"
+
+
+def within(fact: DataFrame, first: Column, last: Column) -> DataFrame:
+    """Rows of daily data with ``date`` between two days.
+
+    Where the frame carries its storage month, the months that the days imply are asked for
+    too, which prunes partitions.
+    """
+    rows = fact.filter(F.col("date").between(first, last))
+    if MONTH not in fact.columns:
+        return rows
+    months = [F.date_format(day, "yyyy-MM") for day in (first, last)]
+    return rows.filter(F.col(MONTH).between(*months))
+
+
 # ``kept`` names storage columns to carry along, such as a partition column.
 
 
@@ -49,10 +65,15 @@ def fact_price(silver_price: DataFrame, *kept: str) -> DataFrame:
 
 
 def dim_date(demand: DataFrame, generation: DataFrame, price: DataFrame) -> DataFrame:
-    """Calendar over the silver tables, reaching the furthest of the three."""
+    """Calendar over the silver tables, reaching the furthest of the three.
+
+    Prices are reduced to their first and last instant, and only those two are converted.
+    """
+    ends = price.agg(F.min("datetime_utc").alias("first"), F.max("datetime_utc").alias("last"))
+    priced = ends.select(F.explode(F.array("first", "last")).alias("moment"))
     day = F.col("date")
     return calendar(
-        date_bounds((demand, day), (generation, day), (price, civil_date(F.col("datetime_utc"))))
+        date_bounds((demand, day), (generation, day), (priced, civil_date(F.col("moment"))))
     )
 
 

@@ -14,9 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmetrics.functions.dates import civil_date, year_month
-from gridmetrics.operators.star import Star
-
-MONTH = "year_month"
+from gridmetrics.operators.star import MONTH, Star
 
 
 def _rows() -> Column:

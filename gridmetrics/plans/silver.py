@@ -5,12 +5,12 @@ from __future__ import annotations
 import logging
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmetrics.operators.parse import QUARANTINE, ROW, UNUSABLE, all_records, split
 from gridmetrics.sources import tables
-from gridmetrics.sources.staging import staged
+from gridmetrics.sources.staging import Counts, staged
 from gridmetrics.spec import QUARANTINE_SCHEMA, QUARANTINE_TABLE, SPECS, spec_for
 
 logger = logging.getLogger(__name__)
@@ -62,10 +62,10 @@ def load_indicator(
     """
     spec = spec_for(indicator)
     ensure_silver(spark)
-    counted, kinds = Observation(), (ROW, QUARANTINE, UNUSABLE)
-    per_kind = [F.count_if(F.col("kind") == kind).alias(kind) for kind in kinds]
-    with staged(all_records(files, indicator).observe(counted, *per_kind)) as records:
-        counts = {kind: counted.get.get(kind, 0) for kind in kinds}
+    kinds = (ROW, QUARANTINE, UNUSABLE)
+    written = Counts(**{kind: F.count_if(F.col("kind") == kind) for kind in kinds})
+    with staged(written.of(all_records(files, indicator))) as records:
+        counts = {kind: written.get(kind) for kind in kinds}
         logger.info("%s: %s", indicator, counts)
         parsed = split(records)
         stamp = F.lit(loaded_at or tables.utc_now()).cast("timestamp")

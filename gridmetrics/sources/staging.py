@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _DATABASE = "gridmetrics_stage"
 
@@ -17,20 +17,60 @@ def shared_folder(spark: SparkSession) -> str:
     return named or spark.conf.get("spark.sql.warehouse.dir")
 
 
-def written(df: DataFrame, name: str | None = None) -> DataFrame:
+_scratch: dict[str, str] = {}
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """This application's folder on shared storage; removed when the driver ends."""
+    application = spark.sparkContext.applicationId
+    if application not in _scratch:
+        folder = f"{shared_folder(spark).rstrip('/')}/{_DATABASE}/{application}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(path)
+        system.deleteOnExit(path)
+        _scratch[application] = folder
+    return _scratch[application]
+
+
+def written(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and hand back a scan of the files.
 
     For results that several branches of one plan read: the work above is done once, the
     scan has exact sizes for choosing joins, and a lost executor only re-reads files. The
-    files stay for the life of the application; a name written again is replaced.
+    files stay for the life of the application.
     """
     spark = df.sparkSession
-    folder = f"{shared_folder(spark).rstrip('/')}/{_DATABASE}/{spark.sparkContext.applicationId}"
-    path = f"{folder}/{name or uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    path = f"{scratch_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch_schema(spark: SparkSession) -> str:
+    """A new, empty catalog schema below the application's folder."""
+    name = f"{_DATABASE}_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE SCHEMA {name} LOCATION '{scratch_folder(spark)}/{name}'")
+    return name
+
+
+class Counts:
+    """Counts that a write takes of the rows it writes: no second scan."""
+
+    def __init__(self, **counts: Column) -> None:
+        self._columns = [count.alias(name) for name, count in counts.items()]
+        self._observation = Observation()
+
+    def of(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._observation, *self._columns)
+
+    def get(self, name: str) -> int:
+        """Waits for the write. A plan that was found to be empty while it ran reports no
+        metrics at all; its counts are 0."""
+        if self._observation._jo.getRow().length() == 0:
+            return 0
+        return self._observation.get[name]
+
+
 @contextmanager
 def staged(df: DataFrame) -> Iterator[DataFrame]:
     """Write ``df`` once and hand back a scan of it.

@@ -17,12 +17,12 @@ import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmetrics.functions.dates import year_month
 from gridmetrics.operators.merge import delete_where, latest_by_key, merge_by_key, new_by_digest, new_only
-from gridmetrics.sources.staging import staged
+from gridmetrics.sources.staging import Counts, staged
 from gridmetrics.spec import WATERMARK_SCHEMA, WATERMARK_TABLE
 
 MONTH = "year_month"
@@ -105,15 +105,14 @@ def replace_months(spark: SparkSession, table: str, df: DataFrame, months: Seque
     The rows are counted by month while they are written, so the months left without any are
     known afterwards; a dynamic overwrite leaves those alone, so they are dropped.
     """
-    months, counted = sorted(set(months)), Observation()
+    months = sorted(set(months))
     if not months:
         return
     rows = df.filter(F.col(MONTH).isin(months))
-    per_month = [F.count_if(F.col(MONTH) == month).alias(f"n{i}") for i, month in enumerate(months)]
-    _replace(spark, table, rows.observe(counted, *per_month), MONTH)
-    found = counted.get
+    counts = Counts(**{f"n{i}": F.count_if(F.col(MONTH) == month) for i, month in enumerate(months)})
+    _replace(spark, table, counts.of(rows), MONTH)
     for i, month in enumerate(months):
-        if not found.get(f"n{i}"):
+        if not counts.get(f"n{i}"):
             spark.sql(f"ALTER TABLE {physical(spark, table)} DROP IF EXISTS PARTITION ({MONTH} = '{month}')")
 
 
@@ -219,8 +218,8 @@ def rebuild(spark: SparkSession, table: str, df: DataFrame) -> int:
     """
     ensure_namespace(spark, table)
     version = f"{table}__v_{uuid.uuid4().hex}"
-    counted = Observation()
-    rows = df.observe(counted, F.count(F.lit(1)).alias("n"))
+    counts = Counts(n=F.count(F.lit(1)))
+    rows = counts.of(df)
     if MONTH in df.columns:
         monthly = rows.hint("rebalance", F.col(MONTH)).write.partitionBy(MONTH)
         monthly.option("partitionOverwriteMode", "dynamic").saveAsTable(version)
@@ -230,7 +229,7 @@ def rebuild(spark: SparkSession, table: str, df: DataFrame) -> int:
     _switch(spark, table, version)
     for old in _versions(spark, table) - {version, before}:
         spark.sql(f"DROP TABLE IF EXISTS {old}")
-    return counted.get["n"]
+    return counts.get("n")
 
 
 def _switch(spark: SparkSession, table: str, version: str) -> None:
@@ -254,13 +253,13 @@ def ensure_rebuilt(spark: SparkSession, table: str, schema: str) -> None:
         rebuild(spark, table, spark.createDataFrame([], schema))
 
 
-def upsert_watermarks(spark: SparkSession, updates: DataFrame) -> None:
+def upsert_watermarks(spark: SparkSession, updates: DataFrame, table: str = WATERMARK_TABLE) -> None:
     """Set ``last_end`` and ``updated_at`` of known indicators, insert the others."""
-    ensure_rebuilt(spark, WATERMARK_TABLE, WATERMARK_SCHEMA)
+    ensure_rebuilt(spark, table, WATERMARK_SCHEMA)
     merged = merge_by_key(
-        _current(spark, WATERMARK_TABLE), updates, ["indicator"], update=["last_end", "updated_at"]
+        _current(spark, table), updates, ["indicator"], update=["last_end", "updated_at"]
     )
-    rebuild(spark, WATERMARK_TABLE, merged)
+    rebuild(spark, table, merged)
 
 
 def utc_now() -> datetime:

@@ -16,7 +16,8 @@ TABLES = ("orders", "lineitem", "part", "events", "customer", "supplier")
 CHECKED = [
     "mv_renewables_share_parsed", "parse_prices", "quarantine_generation", "modal_grain", "upsert_merge",
     "watermark_upsert", "dim_date", "dq_results", "dq_invariants", "demand_by_month_complete",
-    "price_daily_avg30d", "price_min_max", "plan_daily",
+    "price_daily_avg30d", "price_min_max", "plan_daily", "landed_generation", "sink_upsert", "sink_delete",
+    "sink_watermarks", "gate_effects", "mv_share_by_month_update", "mv_avg_price_by_month_update", "gold_row_counts",
 ]
 
 

@@ -121,6 +121,15 @@ def test_rebuild_replaces_schema_and_can_read_itself(lake):
     assert sorted(r["b"] for r in lake.table("gold.t").collect()) == [1, 2, 3, 4, 5]
 
 
+def test_counts_of_an_empty_write_are_zero(lake):
+    nothing = lake.range(5).repartition(2).filter("id > 9").groupBy("id").count()
+    assert tables.rebuild(lake, "gold.t", nothing) == 0
+    tables.rebuild(lake, "gold.m", lake.createDataFrame([(1, "2024-01")], "v INT, year_month STRING"))
+    rows = nothing.selectExpr("CAST(id AS INT) AS v", "'2024-01' AS year_month")
+    tables.replace_months(lake, "gold.m", rows, ["2024-01"])
+    assert lake.table("gold.m").count() == 0
+
+
 def test_failed_rebuild_leaves_the_last_good_table(lake):
     tables.rebuild(lake, "gold.t", lake.range(3).toDF("a"))
     broken = lake.range(3).select(F.raise_error(F.lit("boom")).cast("long").alias("a"))

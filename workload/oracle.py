@@ -73,11 +73,11 @@ grain AS (
       SELECT {keys}, gap, count(*) AS n, min(seen) AS seen FROM gaps GROUP BY ALL)) WHERE rn = 1)"""
 
 
-def newest(name: str, where: str) -> str:
+def newest(name: str, where: str, key: str = "l_orderkey, l_linenumber") -> str:
     """Newest line per key as CTE ``name``."""
     return f"""{name} AS (
   SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+    SELECT *, row_number() OVER (PARTITION BY {key}
       ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC, l_quantity DESC) AS rn
     FROM lines WHERE {where}) WHERE rn = 1)"""
 
@@ -226,6 +226,29 @@ def work_items(ranged: str) -> str:
     SELECT *, unnest(generate_series(date_trunc('month', lo), hi, INTERVAL 1 MONTH)) AS m FROM ({ranged})))"""
 
 
+WATERMARKS = f"""WITH known AS ({watermarks("l_shipdate < DATE '2001-10-25'", "1995-01-11 00:00:00")}),
+  new AS ({watermarks("l_shipdate >= DATE '2001-10-25'", "2001-12-01 00:00:00")})
+  SELECT coalesce(n.indicator, k.indicator) AS indicator, coalesce(n.last_end, k.last_end) AS last_end,
+    coalesce(n.updated_at, k.updated_at) AS updated_at
+  FROM known k FULL JOIN new n ON n.indicator = k.indicator"""
+# What a second run finds: the row counts of the first.
+FIRST_COUNTS = """baseline AS (
+  SELECT 'silver.demand_daily' AS "table", count(*) AS previous FROM demand
+  UNION ALL SELECT 'silver.generation_daily', count(*) FROM generation
+  UNION ALL SELECT 'silver.price_hourly', count(*) FROM price)"""
+
+
+def gate_runs() -> str:
+    """Stored verdicts of two runs, each with the number of its failures."""
+    runs = (("2001-11-03 06:00:00", False), ("2001-11-04 06:00:00", True))
+    stored = [
+        f"SELECT TIMESTAMP '{at}' AS run_ts, 'silver' AS stage, * FROM ({suite(second)})" for at, second in runs
+    ]
+    return f"""SELECT * REPLACE (round(observed, 6) AS observed),
+      CAST(count(*) FILTER (WHERE status = 'FAIL') OVER (PARTITION BY run_ts) AS BIGINT) AS raised
+      FROM ({" UNION ALL ".join(stored)})"""
+
+
 ORACLE: dict[str, str] = {
     "parse_demand": """SELECT CAST(o_orderdate AS DATE) AS date, o_totalprice AS value
         FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')""",
@@ -235,6 +258,7 @@ ORACLE: dict[str, str] = {
           ELSE 'missing datetime' END AS reason, o_orderkey AS order_key
         FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH')""",
     "parse_generation": sql((GENERATION,), "SELECT date, technology, is_renewable, value FROM generation"),
+    "landed_generation": sql((GENERATION,), "SELECT date, technology, is_renewable, value FROM generation"),
     "parse_generation_lines": """SELECT p_type AS technology, l_returnflag = 'R' AS is_renewable,
         CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS n_rows,
         CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS value
@@ -274,6 +298,15 @@ ORACLE: dict[str, str] = {
         """SELECT * FROM early UNION ALL SELECT * FROM late
         ANTI JOIN early USING (l_orderkey, l_linenumber)""",
     ),
+    "sink_upsert": sql(
+        (LINES, newest("kept", "TRUE", "l_orderkey, l_linenumber, l_shipdate")),
+        """SELECT * REPLACE (CASE WHEN l_shipdate >= DATE '1998-07-01' THEN 2 * l_quantity
+          ELSE l_quantity END AS l_quantity) FROM kept""",
+    ),
+    "sink_delete": sql(
+        (LINES, newest("kept", "TRUE", "l_orderkey, l_linenumber, l_shipdate")),
+        "SELECT * FROM kept WHERE NOT coalesce(l_quantity < 10, FALSE)",
+    ),
     "upsert_twice": sql(
         (LINES, newest("early", "l_shipdate < DATE '1998-07-01'"), newest("late", "l_shipdate >= DATE '1998-07-01'")),
         """SELECT * FROM late UNION ALL SELECT * FROM early
@@ -285,11 +318,8 @@ ORACLE: dict[str, str] = {
           SELECT 1 FROM logged o WHERE o.day < DATE '2001-08-10' AND o.indicator = n.indicator
             AND o.raw = n.raw AND o.user_id = n.user_id)""",
     "delete_by_predicate": sql((GENERATION,), "SELECT * FROM generation WHERE technology <> 'PROMO'"),
-    "watermark_upsert": f"""WITH known AS ({watermarks("l_shipdate < DATE '2001-10-25'", "1995-01-11 00:00:00")}),
-        new AS ({watermarks("l_shipdate >= DATE '2001-10-25'", "2001-12-01 00:00:00")})
-        SELECT coalesce(n.indicator, k.indicator) AS indicator, coalesce(n.last_end, k.last_end) AS last_end,
-          coalesce(n.updated_at, k.updated_at) AS updated_at
-        FROM known k FULL JOIN new n ON n.indicator = k.indicator""",
+    "watermark_upsert": WATERMARKS,
+    "sink_watermarks": WATERMARKS,
     "dim_date": sql((*ALL, CALENDAR), "SELECT * FROM dim_date"),
     "dim_technology": sql((GENERATION, TECHNOLOGY), "SELECT * FROM dim_technology"),
     "fact_demand": sql((DEMAND,), "SELECT date, value AS demand_mwh FROM demand"),
@@ -297,6 +327,8 @@ ORACLE: dict[str, str] = {
     "fact_price": sql((PRICE,), "SELECT datetime_utc, date, series, period_minutes, value AS price_eur_mwh FROM price"),
     "mv_renewables_share": sql((GENERATION, SHARE), "SELECT * FROM share"),
     "mv_avg_price": sql((PRICE, AVG_PRICE), "SELECT * FROM avg_price"),
+    "mv_share_by_month_update": sql((GENERATION, SHARE), "SELECT * FROM share"),
+    "mv_avg_price_by_month_update": sql((PRICE, AVG_PRICE), "SELECT * FROM avg_price"),
     "gold_row_counts": sql(
         (*GOLD, SHARE, AVG_PRICE),
         """SELECT 'gold.dim_date' AS object_name, count(*) AS row_count FROM dim_date
@@ -351,6 +383,7 @@ ORACLE: dict[str, str] = {
         "SELECT date, round(ratio, 6) AS ratio, ratio < 0.8 OR ratio > 1.6 AS out_of_band FROM ratio",
     ),
     "dq_invariants": sql((*GOLD, SHARE), invariants()),
+    "gate_effects": sql((*ALL, RATIO, FIRST_COUNTS), gate_runs()),
     "demand_by_month_complete": sql((*ALL, CALENDAR), complete_months("demand", "month_name,", "demand_mwh")),
     "demand_by_quarter": sql(
         (*ALL, CALENDAR),

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmetrics.functions.dates import year_month
-from gridmetrics.operators import checks, grain, marts, measures, merge, parse, reports, star, work_plan
+from gridmetrics.operators import checks, grain, marts, measures, merge, parse, reports, star, summaries, work_plan
 from gridmetrics.operators.calendar import calendar, date_bounds
+from gridmetrics.plans import gate
 from gridmetrics.session import configure
+from gridmetrics.sources import landing, tables
 from gridmetrics.sources.landing import without_bom
-from gridmetrics.sources.staging import written
-from gridmetrics.spec import DEMAND, GENERATION, PRICES
+from gridmetrics.sources.staging import scratch_folder, scratch_schema, written
+from gridmetrics.spec import DEMAND, FRESHNESS_LAG_DAYS, GENERATION, PRICES
 from workload import envelopes, standins
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +32,8 @@ PROOF_MONTH = (1999, 3)
 TECHNOLOGY = "PROMO"
 SERIES = "click"
 LINE_KEY = ["l_orderkey", "l_linenumber"]
+SMALL_QUANTITY = 10
+FIRST_RUN, SECOND_RUN = datetime(2001, 11, 3, 6), datetime(2001, 11, 4, 6)
 
 
 def query(function: Query) -> Query:
@@ -50,8 +55,8 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({name: F.round(name, digits) for name in columns})
 
 
-def gold_objects(spark: SparkSession, sf_dir: str) -> star.Star:
-    return standins.gold(spark, sf_dir)
+def gold_objects(spark: SparkSession, sf_dir: str) -> standins.Gold:
+    return standins.Gold(spark, sf_dir)
 
 
 # --- envelopes -> typed rows ------------------------------------------------------------
@@ -93,6 +98,20 @@ def quarantine_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected.select("reason", reference.alias("line_ref"))
 
 
+@query
+def landed_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month files written to a landing zone, with byte-order marks, read back and parsed."""
+    month = F.to_date(F.regexp_extract("file", r"(\d{6})", 1), "yyyyMM")
+    root = f"{scratch_folder(spark)}/raw_{uuid.uuid4().hex}"
+    files = envelopes.generation_months(spark, sf_dir).select(
+        F.lit(GENERATION).alias("indicator"), F.year(month).alias("year"), F.month(month).alias("month"),
+        F.concat(F.lit("\ufeff"), "value").alias("value"),
+    )
+    landing.land(files, root)
+    rows = parse.parse(landing.read_landed(spark, root, GENERATION), GENERATION).rows
+    return rows.select("date", "technology", "is_renewable", "value")
+
+
 @query
 def parse_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = parse.parse(without_bom(envelopes.price_days(spark, sf_dir)), PRICES).rows
@@ -154,9 +173,36 @@ def dedupe_natural_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The later load first, then the earlier one upserted over it."""
+    """The later load first, then the earlier one, reduced and written once, upserted over it."""
     earlier, later = loads(spark, sf_dir)
-    return merge.merge_by_key(later, earlier, LINE_KEY)
+    return merge.merge_by_key(later, written(earlier), LINE_KEY)
+
+
+def line_table(spark: SparkSession, sf_dir: str) -> str:
+    """A monthly catalog table with all lines, put there by the upsert sink."""
+    table, rows = f"{scratch_schema(spark)}.lines", lines(spark, sf_dir)
+    columns = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
+    tables.ensure_table(spark, table, columns, monthly=True)
+    tables.upsert(spark, table, rows, [*LINE_KEY, "l_shipdate"], "l_shipdate", newest_line())
+    return table
+
+
+@query
+def sink_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines in a catalog table, then those of later months with a doubled quantity over them."""
+    table = line_table(spark, sf_dir)
+    later = lines(spark, sf_dir).filter(F.col("l_shipdate") >= F.lit(LOAD_SPLIT.date()))
+    doubled = later.withColumn("l_quantity", 2 * F.col("l_quantity"))
+    tables.upsert(spark, table, doubled, [*LINE_KEY, "l_shipdate"], "l_shipdate", newest_line())
+    return tables.read_table(spark, table)
+
+
+@query
+def sink_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines in a catalog table, less those of small quantity."""
+    table = line_table(spark, sf_dir)
+    tables.delete_rows(spark, table, F.col("l_quantity") < SMALL_QUANTITY)
+    return tables.read_table(spark, table)
 
 
 @query
@@ -202,6 +248,16 @@ def watermark_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naive(merged, "updated_at")
 
 
+@query
+def sink_watermarks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in a stored table, as two runs leave it."""
+    shipped, split = standins.table(spark, sf_dir, "lineitem"), F.lit(WATERMARK_SPLIT.date())
+    table = f"{scratch_schema(spark)}.watermarks"
+    for when, at in ((F.col("l_shipdate") < split, datetime(1995, 1, 11)), (F.col("l_shipdate") >= split, datetime(2001, 12, 1))):
+        tables.upsert_watermarks(spark, line_watermarks(shipped.filter(when), at), table)
+    return naive(spark.table(table), "updated_at")
+
+
 # --- star -------------------------------------------------------------------------------
 
 
@@ -233,11 +289,14 @@ def fact_price(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- marts, proofs, repair --------------------------------------------------------------
 
 
-def share_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    objects = gold_objects(spark, sf_dir)
+def share_of(objects: standins.Gold) -> DataFrame:
     return marts.monthly_renewables_share(objects.generation, objects.dim_technology)
 
 
+def share_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return share_of(gold_objects(spark, sf_dir))
+
+
 @query
 def mv_renewables_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return share_mart(spark, sf_dir)
@@ -248,20 +307,51 @@ def mv_avg_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.monthly_avg_price(gold_objects(spark, sf_dir).price)
 
 
+def updated_by_month(spark: SparkSession, rows: DataFrame, summarise, moment: str) -> DataFrame:
+    """Month summaries stored before LOAD_SPLIT, then brought up to date for the months from then on."""
+    table = f"{scratch_schema(spark)}.months"
+    before = rows.filter(F.col(moment) < F.lit(LOAD_SPLIT))
+    tables.rebuild(spark, table, summarise(before))
+    touched = rows.filter(F.col(moment) >= F.date_trunc("month", F.lit(LOAD_SPLIT)))
+    fresh = written(summarise(touched))
+    months = [r[0] for r in fresh.select(tables.MONTH).distinct().collect()]
+    tables.replace_months(spark, table, fresh, months)
+    return tables.months_of(spark, table)
+
+
+@query
+def mv_share_by_month_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share mart from stored month summaries, only the later months summed again."""
+    rows = standins.generation(spark, sf_dir)
+    months = updated_by_month(spark, rows, summaries.generation_months, "date")
+    return marts.share_of_summaries(months, star.dim_technology(months))
+
+
+@query
+def mv_avg_price_by_month_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The price mart in the same way; a civil month meets two storage months."""
+    months = updated_by_month(spark, gold_objects(spark, sf_dir).price, summaries.price_months, "datetime_utc")
+    return marts.avg_price_of_summaries(months)
+
+
 @query
 def gold_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts are counted from their days, so each is scanned once."""
     objects = gold_objects(spark, sf_dir)
+    days = objects.days
     return reports.row_counts(
         {
             "gold.dim_date": objects.dim_date,
             "gold.dim_indicator": star.dim_indicator(spark),
             "gold.dim_technology": objects.dim_technology,
-            "gold.fact_demand_daily": objects.demand,
-            "gold.fact_generation_daily": objects.generation,
-            "gold.fact_price_hourly": objects.price,
-            "gold.mlv_monthly_avg_price": marts.monthly_avg_price(objects.price),
-            "gold.mlv_monthly_renewables_share": share_mart(spark, sf_dir),
-        }
+            "gold.mlv_monthly_avg_price": days.price.select(F.year("date"), F.month("date"), "series").distinct(),
+            "gold.mlv_monthly_renewables_share": share_of(objects),
+        },
+        {
+            "gold.fact_demand_daily": days.demand,
+            "gold.fact_generation_daily": days.generation,
+            "gold.fact_price_hourly": days.price,
+        },
     )
 
 
@@ -363,7 +453,28 @@ def dq_ratio_band(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.star_verdicts(gold_objects(spark, sf_dir), share_mart(spark, sf_dir))
+    objects = gold_objects(spark, sf_dir)
+    return checks.star_verdicts(objects.days, objects.dim_date, objects.dim_technology, share_of(objects))
+
+
+@query
+def gate_effects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of the gate, as stored: every verdict of a failing run is kept, and its row
+    counts are the baseline of the next. ``raised`` is the number of failures each run reported."""
+    judged = [
+        written(build(spark, sf_dir)) for build in (standins.demand, standins.generation, standins.price)
+    ]
+    table, raised = f"{scratch_schema(spark)}.verdicts", F.lit(0)
+    as_of = FLOOR + timedelta(days=FRESHNESS_LAG_DAYS)
+    for at in (FIRST_RUN, SECOND_RUN):
+        failed = 0
+        try:
+            gate.run_gate(spark, "silver", as_of, at, judged=judged, verdict_table=table)
+        except gate.GateFailure as failure:
+            failed = len(failure.failed)
+        raised = F.when(F.col("run_ts") == F.lit(at).cast("timestamp"), failed).otherwise(raised)
+    stored = tables.read_table(spark, table).withColumn("raised", raised.cast("long"))
+    return rounded(naive(stored, "run_ts"), 6, "observed")
 
 
 # --- measures and report ----------------------------------------------------------------

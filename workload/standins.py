@@ -1,8 +1,8 @@
-"""The silver tables, derived from the test tables.
+"""The silver tables, derived from the test tables inside each query.
 
-Demand and generation are written once per session and scanned by every query after that,
-as silver tables are; they hold one row per day (times part type). Prices are a projection of
-the events and are read in place.
+Every query builds what it needs from the whole given tables: demand and generation as one row per
+day (times part type), prices as a projection of the events. :class:`Gold` is the star of one
+query; a part that several of its branches read is written once, within that query.
 
 Money columns have two decimals; they are summed as decimals so that a total does not depend
 on the order in which rows arrive.
@@ -10,10 +10,12 @@ on the order in which rows arrive.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmetrics.operators.star import Star, star
+from gridmetrics.operators import star, summaries
 from gridmetrics.sources.staging import written
 
 RENEWABLE = ("ECONOMY", "PROMO", "SMALL")
@@ -29,28 +31,8 @@ def exact_sum(column: str):
     return F.sum(F.col(column).cast("decimal(18,2)")).cast("double")
 
 
-_WRITTEN: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def silver(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """The written table ``name``, built on first use in this application."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _WRITTEN:
-        _WRITTEN[key] = written(build(spark, sf_dir), f"{sf_dir.strip('/').replace('/', '_')}_{name}")
-    return _WRITTEN[key]
-
-
 def demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``date, value``: ordered value per day."""
-    return silver(spark, sf_dir, "demand", build_demand)
-
-
-def generation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``date, technology, is_renewable, value``: shipped value per day and part type."""
-    return silver(spark, sf_dir, "generation", build_generation)
-
-
-def build_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     return orders.groupBy(F.to_date("o_orderdate").alias("date")).agg(
         exact_sum("o_totalprice").alias("value")
@@ -66,7 +48,8 @@ def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(parts, "l_partkey")
 
 
-def build_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
+def generation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``date, technology, is_renewable, value``: shipped value per day and part type."""
     daily = shipped(spark, sf_dir).groupBy(F.to_date("l_shipdate").alias("date"), "technology")
     return daily.agg(exact_sum("l_extendedprice").alias("value")).select(
         "date", "technology", F.col("technology").isin(*RENEWABLE).alias("is_renewable"), "value"
@@ -91,5 +74,40 @@ def price(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def gold(spark: SparkSession, sf_dir: str) -> Star:
-    return star(demand(spark, sf_dir), generation(spark, sf_dir), price(spark, sf_dir))
+class Gold:
+    """The star over the three silver tables, for one query."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @cached_property
+    def silver_generation(self) -> DataFrame:
+        return written(generation(self.spark, self.sf_dir))
+
+    @cached_property
+    def demand(self) -> DataFrame:
+        return star.fact_demand(demand(self.spark, self.sf_dir))
+
+    @cached_property
+    def generation(self) -> DataFrame:
+        return star.fact_generation(self.silver_generation)
+
+    @cached_property
+    def price(self) -> DataFrame:
+        return star.fact_price(price(self.spark, self.sf_dir))
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        """From first and last days alone: one column of each table, no row is converted."""
+        ordered = table(self.spark, self.sf_dir, "orders").select(F.to_date("o_orderdate").alias("date"))
+        sent = shipped(self.spark, self.sf_dir).select(F.to_date("l_shipdate").alias("date"))
+        return star.dim_date(ordered, sent, price(self.spark, self.sf_dir))
+
+    @cached_property
+    def dim_technology(self) -> DataFrame:
+        return star.dim_technology(self.silver_generation)
+
+    @cached_property
+    def days(self) -> summaries.Days:
+        """The facts reduced to days, each written from one scan."""
+        return summaries.Days(*map(written, summaries.days(self)))
