@@ -1,11 +1,13 @@
 """How far sources of a language diverge in their terms, by late materialisation of strings.
 
-Texts are split and counted inside tasks. What is shuffled for counting are rows of a fixed-width
-term digest and numbers; a language's vocabulary is decided on digests alone. Only for digests
-that stay does a second aggregate look at strings: the least and the greatest string of a digest
-differ exactly where two terms collide, and such a digest is split into pieces, one a term, counted
-from the rows that carry its strings. Term ids are (digest, piece), so nothing depends on collisions
-being rare. Text is joined back to the few output rows that name terms.
+A first pass over the texts decides each language's vocabulary on fixed-width term digests alone:
+tasks count documents by (language, term) and shuffle digests and numbers. A bitmap of the digests
+that stay, sized by their number, goes to the second pass, which counts by (language, source) and
+drops terms nobody keeps inside the task; what the bitmap lets through in vain an exact join removes.
+Beside its counts a task names each (digest, term) once, and the least and the greatest string of a
+digest differ exactly where two terms collide. Such a digest is split into pieces, one a term,
+counted by a pass of their own. Term ids are (digest, piece), so nothing depends on collisions being
+rare. Text is joined back to the few output rows that name terms.
 
 Every shuffle on a term, group or language has been summed inside tasks before. Pairs of sources
 are compared in blocks: sources of a language are numbered and cut into blocks of ``BLOCK``, terms
@@ -30,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import STEP_BYTES, ship, stored, table, text_bytes, word_table
+from .common import STEP_BYTES, _arrow_schema, _batch, ship, stored, table, text_bytes, word_table
 
 LEAST_DOCUMENTS = 30
 TOP = 50
@@ -38,12 +40,15 @@ SCALE = 1_000_000_000
 #: Sources and terms that one step compares at once: 2 * BLOCK * CHUNK numbers of eight bytes.
 BLOCK, CHUNK = 64, 4096
 #: Distinct (group, term) counts a task holds before it hands them on.
-HELD = 250_000
+HELD = 400_000
 #: Bytes of text whose terms a task tells apart at a time.
 LONG = 32 << 20
 
 _LETTERS = word_table(b"abcdefghijklmnopqrstuvwxyz")
-_COUNTS = "lang string, source string, digest long, docs long, n long, term binary"
+_DOCS = "lang string, digest long, docs long"
+_COUNTS = "lang string, source string, digest long, n long, term binary"
+#: Bits a kept digest has in the bitmap, and the most bits in all (32 MB).
+_BITS_EACH, _MOST_BITS = 16, 1 << 28
 
 
 def terms_of(data: bytes) -> Iterator[list[bytes]]:
@@ -72,88 +77,173 @@ def digest_of(term: bytes, bits: int = 64) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def term_counts(documents: DataFrame, text: str, lang: str, source: str, bits: int) -> DataFrame:
-    """(lang, source, term) rows summed inside tasks: documents, occurrences, digest and term."""
-    rows = documents.select(
+def _texts(documents: DataFrame, text: str, lang: str, source: str) -> DataFrame:
+    return documents.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"),
         F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"),
         text_bytes(text).alias("data"),
     )
-    ship(rows.sparkSession)
-    names = [part.split()[0] for part in _COUNTS.split(", ")]
-    types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
-    def flushed(held):
-        for (lang, source), (docs, n) in held.items():
-            terms = list(n)
-            for at in range(0, len(terms), 20_000):
-                some = terms[at : at + 20_000]
-                columns = [
-                    [lang] * len(some), [source] * len(some), [digest_of(t, bits) for t in some],
-                    [docs[t] for t in some], [n[t] for t in some], some,
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, kind) for c, kind in zip(columns, types)], names=names
-                )
+
+def _pieces(texts: DataFrame, schema: str, run) -> DataFrame:
+    """Map Arrow batches by ``run``, which yields lists of columns, into batches of bounded length."""
+    ship(texts.sparkSession)
+    names, types = _arrow_schema(texts.sparkSession, schema)
+
+    def of(batches):
+        for columns in run(batches):
+            for at in range(0, len(columns[0]), 20_000):
+                yield _batch([column[at : at + 20_000] for column in columns], names, types)
+
+    return texts.mapInArrow(of, schema)
+
+
+def _vocabulary(texts: DataFrame, least: int, bits: int) -> DataFrame:
+    """(lang, digest) of the digests that at least ``least`` documents of the language hold."""
 
     def run(batches):
         held, size = {}, 0
         for batch in batches:
-            for i in range(batch.num_rows):
-                group = batch["lang"][i].as_py(), batch["source"][i].as_py()
-                for shard in _shards(batch["data"][i].as_py()):
-                    docs, n = held.setdefault(group, (Counter(), Counter()))
-                    before, seen = len(n), set()
+            for lang, data in zip(batch["lang"].to_pylist(), batch["data"]):
+                for shard in _shards(data.as_py()):
+                    docs, seen = held.setdefault(lang, Counter()), set()
                     for words in shard:
-                        n.update(words)
                         seen.update(words)
+                    before = len(docs)
                     docs.update(seen)
-                    size += len(n) - before
+                    size += len(docs) - before
                     if size >= HELD:
                         yield from flushed(held)
                         held, size = {}, 0
         yield from flushed(held)
 
-    return rows.mapInArrow(run, _COUNTS)
+    def flushed(held):
+        for lang, docs in held.items():
+            yield [lang] * len(docs), [digest_of(term, bits) for term in docs], list(docs.values())
+
+    docs = _pieces(texts, _DOCS, run).groupBy("lang", "digest").agg(F.sum("docs").alias("docs"))
+    return docs.where(F.col("docs") >= least).select("lang", "digest")
+
 
+def _bitmap(digests: DataFrame) -> np.ndarray:
+    """A bit for each digest; its size follows their number and is bounded."""
+    size = min(_MOST_BITS, max(1 << 15, 1 << (digests.count() * _BITS_EACH).bit_length()))
+    spot = F.pmod("digest", F.lit(size))
+    parts = digests.groupBy(F.floor(spot / 32768).cast("int").alias("part")).agg(
+        F.bitmap_construct_agg((spot % 32768).cast("int")).alias("bits")
+    )
+    out = np.zeros(size // 8, np.uint8)
+    for r in parts.collect():
+        out[r.part * 4096 : (r.part + 1) * 4096] = np.frombuffer(r.bits, np.uint8)
+    return out
 
-def _split(counted: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
-    """Counts of kept terms by (lang, source, digest, piece), and the text of every (digest, piece).
 
-    ``counted`` is a written table: columns of fixed width are read apart from the strings.
+def _counts(texts: DataFrame, wanted: DataFrame, bits: int) -> DataFrame:
+    """Occurrences by (lang, source, digest), summed inside tasks, of digests that may be wanted.
+
+    One row a task and (digest, term) has the term.
     """
-    group, key = ["lang", "source"], ["lang", "digest"]
-    sums = [F.sum("docs").alias("docs"), F.sum("n").alias("n")]
-    by_digest = counted.select(*group, "digest", "docs", "n").groupBy(*group, "digest").agg(*sums)
-    by_digest = stored(by_digest)
-    enough = F.sum("docs") >= least
-    kept = by_digest.groupBy(*key).agg(enough.alias("enough")).where("enough").select(*key)
+    bitmap = texts.sparkSession.sparkContext.broadcast(_bitmap(wanted))
+
+    def run(batches):
+        marks, held, digests, size, room = bitmap.value, {}, {}, 0, HELD
+        named = set()
+        for batch in batches:
+            keys = zip(batch["lang"].to_pylist(), batch["source"].to_pylist())
+            for key, data in zip(keys, batch["data"]):
+                n = held.setdefault(key, Counter())
+                for words in terms_of(data.as_py()):
+                    before = len(n)
+                    n.update(words)
+                    size += len(n) - before
+                    if size >= room:
+                        # Terms nobody keeps go; the rest stays until it fills the room itself.
+                        for counter in held.values():
+                            _drop_others(counter, digests, marks, bits)
+                        size = sum(map(len, held.values()))
+                        room = HELD + size
+                        if size >= HELD:
+                            yield from flushed(held, digests, named)
+                            held, digests, size, room = {}, {}, 0, HELD
+                            n = held.setdefault(key, Counter())
+        for counter in held.values():
+            _drop_others(counter, digests, marks, bits)
+        yield from flushed(held, digests, named)
+
+    def flushed(held, digests, named):
+        for (lang, source), n in held.items():
+            terms = [None if term in named else term for term in n]
+            named.update(n)
+            yield [lang] * len(n), [source] * len(n), [digests[t] for t in n], list(n.values()), terms
+
+    return _pieces(texts, _COUNTS, run)
+
+
+def _drop_others(counter: Counter, digests: dict[bytes, int], marks: np.ndarray, bits: int) -> None:
+    """Leave only terms whose digest is marked; ``digests`` remembers those found so far."""
+    unknown = [term for term in counter if term not in digests]
+    found = np.fromiter((digest_of(t, bits) for t in unknown), np.int64, len(unknown))
+    spots = np.mod(found, 8 * len(marks))
+    marked = marks[spots >> 3] >> (spots & 7).astype(np.uint8) & 1 == 1
+    for term, digest, keep in zip(unknown, found.tolist(), marked.tolist()):
+        if keep:
+            digests[term] = digest
+        else:
+            del counter[term]
+
+
+def _by_string(texts: DataFrame, collided: DataFrame, bits: int) -> DataFrame:
+    """Documents and occurrences by (lang, source, digest, term) of terms whose digest may have collided."""
+    bitmap = texts.sparkSession.sparkContext.broadcast(_bitmap(collided))
+
+    def run(batches):
+        for batch in batches:
+            keys = zip(batch["lang"].to_pylist(), batch["source"].to_pylist())
+            for (lang, source), data in zip(keys, batch["data"]):
+                for shard in _shards(data.as_py()):
+                    n, digests = Counter(), {}
+                    for words in shard:
+                        n.update(words)
+                    _drop_others(n, digests, bitmap.value, bits)
+                    size = len(n)
+                    yield [lang] * size, [source] * size, [digests[t] for t in n], list(n.values()), list(n)
+
+    return _pieces(texts, _COUNTS, run).join(collided, "digest", "left_semi").withColumn("docs", F.lit(1))
 
-    # Strings move only for digests that some language keeps.
+
+def _split(texts: DataFrame, least: int, bits: int) -> tuple[DataFrame, DataFrame]:
+    """Counts of kept terms by (lang, source, digest, piece), and the text of every (digest, piece)."""
+    group, key = ["lang", "source"], ["lang", "digest"]
+    kept = stored(_vocabulary(texts, least, bits))
     wanted = kept.select("digest").distinct()
-    extremes = (
-        counted.select("digest", "term")
-        .join(wanted, "digest", "left_semi")
+    counted = stored(_counts(texts, wanted, bits))
+    plain = counted.select(*group, "digest", "n").join(kept, key, "left_semi")
+    plain = plain.groupBy(*group, "digest").agg(F.sum("n").alias("n"))
+
+    named = counted.select("digest", "term").where(F.col("term").isNotNull())
+    extremes = stored(
+        named.join(wanted, "digest", "left_semi")
         .groupBy("digest")
         .agg(F.min("term").alias("least"), F.max("term").alias("greatest"))
     )
-    extremes = stored(extremes)
-    collided = extremes.where(F.col("least") != F.col("greatest")).select("digest")
     single = extremes.where(F.col("least") == F.col("greatest"))
-
-    plain = by_digest.join(kept.join(single.select("digest"), "digest", "left_semi"), key, "left_semi")
-    plain = plain.select(*group, "digest", F.lit(0).alias("piece"), "n")
-
-    # A collided digest is counted again by its strings, numbered from 1.
-    apart = counted.join(collided, "digest", "left_semi").groupBy(*group, "digest", "term").agg(*sums)
-    numbered = apart.select("digest", "term").distinct().withColumn(
-        "piece", F.row_number().over(Window.partitionBy("digest").orderBy("term"))
+    terms = single.select("digest", F.lit(0).alias("piece"), F.col("least").alias("term"))
+    collided = extremes.where(F.col("least") != F.col("greatest")).select("digest")
+    if collided.isEmpty():
+        return plain.select(*group, "digest", F.lit(0).alias("piece"), "n"), terms
+
+    # Collided digests are counted again by their strings, numbered from 1.
+    alone = plain.join(collided, "digest", "left_anti").select(*group, "digest", F.lit(0).alias("piece"), "n")
+    apart = stored(_by_string(texts, collided, bits))
+    sums = apart.groupBy(*group, "digest", "term").agg(F.sum("n").alias("n"))
+    place = F.row_number().over(Window.partitionBy("digest").orderBy("term"))
+    numbered = apart.select("digest", "term").distinct().withColumn("piece", place)
+    enough = apart.groupBy("lang", "digest", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least)
+    pieces = sums.join(enough, ["lang", "digest", "term"], "left_semi").join(numbered, ["digest", "term"])
+    return (
+        alone.unionByName(pieces.select(*group, "digest", "piece", "n")),
+        terms.unionByName(numbered.select("digest", "piece", "term")),
     )
-    held = apart.groupBy("lang", "digest", "term").agg(enough.alias("enough")).where("enough")
-    apart = apart.join(held, ["lang", "digest", "term"], "left_semi").join(numbered, ["digest", "term"])
-    texts = single.select("digest", F.lit(0).alias("piece"), F.col("least").alias("term"))
-    counts = plain.unionByName(apart.select(*group, "digest", "piece", "n"))
-    return counts, texts.unionByName(numbered.select("digest", "piece", "term"))
 
 
 def _share(n: Column, total: Column, terms: Column) -> Column:
@@ -179,14 +269,11 @@ def divergence(
     ``term``: the ``top`` terms a source uses more than its language does. ``bits`` narrows the
     digests; results do not depend on it.
     """
-    counted = stored(term_counts(documents, text, lang, source, bits))
-    counts, texts = _split(counted, least_documents)
-    counts, texts = stored(counts), stored(texts)
+    rows = _texts(documents, text, lang, source)
+    counts, texts = _split(rows, least_documents, bits)
+    counts = stored(counts)
 
-    named = documents.select(
-        F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"),
-        F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"),
-    ).distinct()
+    named = rows.select("lang", "source").distinct()
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     overall = counts.groupBy("lang", "digest", "piece").agg(F.sum("n").alias("all"))
     langs = overall.groupBy("lang").agg(
