@@ -110,6 +110,116 @@ def test_corrupt_file_is_gated_and_gold_stays(lake, tmp_path):
     gate.run_gate(lake, "silver", AS_OF)
 
 
+def land_months(root, *months, price=50.0, share=70.0):
+    """Three indicators for whole months; prices reach into the UTC month before."""
+    for first in months:
+        days_of = [first + timedelta(days=i) for i in range(28)]
+        values = lambda amount: [entry(amount + d.day, day(d.isoformat())) for d in days_of]
+        land_file(root, DEMAND, first, envelope(series("Demanda", "Demanda", values(100.0))))
+        land_file(root, GENERATION, first, envelope(
+            series("Eólica", "Renovable", values(share)), series("Nuclear", "No-Renovable", values(40.0)),
+        ))
+        hours = [
+            entry(price + d.day, day(d.isoformat()).replace("T00", f"T{hour:02}")) for d in days_of for hour in range(24)
+        ]
+        land_file(root, PRICES, first, envelope(series("PVPC", "x", hours)))
+
+
+def gold_content(spark):
+    shown = (*gold.OBJECTS, *gold.SUMMARIES)
+    return {t: sorted(map(str, tables.read_table(spark, t).collect())) for t in shown}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_update_by_month_equals_a_full_build_and_leaves_other_months_alone(lake, tmp_path, monkeypatch):
+    first, second, third = date(2024, 1, 1), date(2024, 2, 1), date(2024, 3, 1)
+    land_months(tmp_path, first, second, third)
+    for spec in SPECS:
+        silver.load_indicator(lake, landing.read_landed(lake, str(tmp_path), spec.name), spec.name)
+    gold.build_star(lake)
+    gold.build_marts(lake)
+    files = lambda table: {
+        (r[0], r[1]) for r in lake.table(table).select("year_month", F.input_file_name()).distinct().collect()
+    }
+    monthly = (*gold.FACTS, *gold.SUMMARIES, gold.SHARE_MART, gold.PRICE_MART)
+    before = {table: files(table) for table in monthly}
+    land_months(tmp_path, third, price=80.0, share=90.0)
+    for spec in SPECS:
+        silver.load_indicator(lake, landing.read_landed(lake, str(tmp_path), spec.name, [third]), spec.name)
+    read, seen = tables.months_of, []
+    monkeypatch.setattr(tables, "months_of", lambda spark, *a: seen.append((read(spark, *a), *a)) or read(spark, *a))
+    gold.update_gold(lake, refresh.touched_months([third]))
+    monkeypatch.undo()
+    large = {*gold.FACTS, *(spec.table for spec in SPECS)}
+    for frame, table, months in seen:
+        assert set(months) == {"2024-02", "2024-03"} or table not in large
+        scans = [line for line in plan_of(frame).splitlines() if "FileScan" in line]
+        assert scans and all("PartitionFilters: [year_month" in line or "isnotnull(year_month" in line for line in scans)
+    after = {table: files(table) for table in monthly}
+    for table in (*gold.FACTS, *gold.SUMMARIES):
+        kept = {f for f in before[table] if f[0] == "2024-01"}
+        assert kept <= after[table], f"{table}: an untouched month keeps its files"
+        assert not {f for f in before[table] if f[0] == "2024-03"} & after[table]
+    incremental = gold_content(lake)
+    gold.build_star(lake)
+    gold.build_marts(lake)
+    assert gold_content(lake) == incremental
+    # A technology that changes its flag moves the share of every month.
+    rows = tables.read_table(lake, "silver.generation_daily")
+    flipped = rows.filter("date >= '2024-03-01'").select("date", "technology", (~F.col("is_renewable")).alias("is_renewable"), "value")
+    flipped = flipped.selectExpr("*", "'f' AS file", "0 AS series_pos", "0 AS entry_pos")
+    spec = next(s for s in SPECS if s.name == GENERATION)
+    tables.upsert(lake, spec.table, flipped, spec.key, spec.month_of, silver.newest_first())
+    gold.update_gold(lake, ["2024-03"])
+    incremental = gold_content(lake)
+    gold.build_star(lake)
+    gold.build_marts(lake)
+    assert gold_content(lake) == incremental
+
+
+def test_date_filters_prune_stored_months(lake, tmp_path):
+    land_months(tmp_path, date(2024, 1, 1), date(2024, 2, 1))
+    refresh.refresh(lake, str(tmp_path), date(2024, 2, 29))
+    star = gold.read_star(lake)
+    silver_tables = [tables.months_of(lake, spec.table) for spec in SPECS]
+    # The calendar is a stored table; no report scans prices for it.
+    for frame in (
+        reports.star_month(star, 2024, 2), reports.share_of_month(star, 2024, 2),
+        reports.recent_ratio(silver_tables[1], silver_tables[0], date(2024, 2, 28), 10),
+    ):
+        assert frame.count() > 0
+        scans = [line for line in plan_of(frame).splitlines() if "FileScan" in line and "year_month" in line]
+        assert scans and all("year_month#" in line.split("PartitionFilters: [")[1].split("]")[0] for line in scans)
+        assert "price" not in plan_of(frame)
+    assert reports.star_month(star, 2024, 2).first()["day_count"] == 28
+
+
+def test_landed_envelopes_load_in_refresh(lake, tmp_path, spark):
+    land_months(tmp_path / "by_hand", date(2024, 1, 1))
+    root = str(tmp_path / "raw")
+    for spec in SPECS:
+        files = landing.read_landed(lake, str(tmp_path / "by_hand"), spec.name)
+        landing.land(files.selectExpr(f"'{spec.name}' AS indicator", "2024 AS year", "1 AS month", "value"), root)
+    refresh.refresh(lake, root, date(2024, 1, 29))
+    assert tables.read_table(lake, "gold.fact_demand_daily").count() == 28
+
+
+def test_stream_lists_an_unusable_file_and_loads_the_rest(lake, tmp_path):
+    root, checkpoint = tmp_path / "raw", str(tmp_path / "checkpoint")
+    land_file(root, DEMAND, date(2024, 1, 1), {"data": 1})
+    land_file(root, DEMAND, date(2024, 2, 1), envelope(series("D", "D", [entry(3, day("2024-02-01"))])))
+    for _ in range(2):
+        load_new(lake, str(root), DEMAND, checkpoint).awaitTermination()
+    assert [r["value"] for r in tables.read_table(lake, "silver.demand_daily").collect()] == [3.0]
+    for _ in range(2):
+        with pytest.raises(silver.UnusableFiles):
+            silver.load_indicator(lake, landing.read_landed(lake, str(root), DEMAND), DEMAND)
+    assert lake.table(silver.UNUSABLE_TABLE).count() == 1, "each file is listed once"
+
+
 def test_quarantine_can_append_repeats(lake, files):
     payload = files({"a": envelope(series("D", "D", [entry(None, day("2024-01-01"))]))})
     for _ in range(2):
