@@ -6,9 +6,11 @@ link share and length, and its hashed words. A bidirectional LSTM in numpy reads
 the whole page and labels every block as main text or not.
 
 It is trained on a bounded sample of the pages themselves. Pages that name their article in
-mark-up give the labels; the names are then varied and foreign parts are put inside the article, so
-that the labeller learns the kinds of parts rather than one site's names. Every block of every page is
-labelled from the whole page.
+mark-up give the labels; the names are then varied, foreign parts are put inside the article, and on a
+share of the pages all names are taken away, so that the labeller learns what parts look like rather
+than one site's names. Every block of every page is labelled from the whole page.
+
+A page is read in time linear in its length, however broken or deep: see ``_Scanner``, ``Path``, ``_Open``.
 
 Defined results: null or empty html, and pages without text, give empty text; scripts, styles, comments
 and mark-up are never text; ``<br>`` is white space; broken mark-up closes as browsers close it;
@@ -60,21 +62,138 @@ KINDS = {
 }
 _KIND_OF = {word: i for i, words in enumerate(KINDS.values()) for word in words.split()}
 _FOREIGN = [(kind, words.split()) for kind, words in KINDS.items() if kind != "main"]
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S
-)
+_NAME = re.compile(r"[a-zA-Z][^\s/>\"'<]*")
+_STOP = re.compile(r"[>\"']")
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _TOKEN = re.compile(r"[a-z]+|[0-9]+")
 WIDTH = len(KINDS) + PATHS + 8 + WORDS
+#: Pages nested deeper than this are extracted like all others but teach nothing.
+DEEPEST = 256
+#: Share of the varied training pages whose names are taken away.
+BARE = 0.4
+
+
+class Path:
+    """The open elements around a text as a linked list: an element shares the path of its parent."""
+
+    __slots__ = ("parent", "tokens", "depth", "_row")
+
+    def __init__(self, parent: Path | None, tokens: list[str]) -> None:
+        self.parent, self.tokens, self._row = parent, tokens, None
+        self.depth: int = 1 + (parent.depth if parent else 0)
+
+    @classmethod
+    def of(cls, lists: list[list[str]]) -> Path | None:
+        path = None
+        for tokens in lists:
+            path = cls(path, tokens)
+        return path
+
+    def row(self) -> np.ndarray:
+        """Features of the whole path: those of the parent's and of its own tokens."""
+        todo, path = [], self
+        while path is not None and path._row is None:
+            todo.append(path)
+            path = path.parent
+        for path in reversed(todo):
+            above = path.parent
+            path._row = np.zeros(len(KINDS) + PATHS, np.float32) if above is None else above._row.copy()
+            for token in path.tokens:
+                kind, bucket = _marks(token)
+                if kind is not None:
+                    path._row[kind] = 1
+                path._row[bucket] = 0.5
+        return self._row
+
+
+_MARKS: dict[str, tuple[int | None, int]] = {}
+
+
+def _marks(token: str) -> tuple[int | None, int]:
+    """The kind that a token names, if any, and its bucket; a bounded memo spares repeated hashing."""
+    found = _MARKS.get(token)
+    if found is None:
+        if len(_MARKS) > 100_000:
+            _MARKS.clear()
+        kind = _KIND_OF.get(token, _KIND_OF.get(token.rstrip("s")))
+        found = _MARKS[token] = kind, len(KINDS) + _bucket(token, PATHS)
+    return found
 
 
 class Block:
-    """A run of text: path is a list of token lists, one for each open element."""
+    """A run of text below a path of open elements."""
+
+    __slots__ = ("node", "text", "linked")
+
+    def __init__(self, path: Path | list[list[str]] | None, text: str, linked: int) -> None:
+        self.node = Path.of(path) if isinstance(path, list) else path
+        self.text, self.linked = text, linked
+
+    @property
+    def path(self) -> list[list[str]]:
+        """Token lists of the open elements, outermost first."""
+        out, node = [], self.node
+        while node is not None:
+            out.append(node.tokens)
+            node = node.parent
+        return out[::-1]
+
 
-    __slots__ = ("path", "text", "linked")
+class _Scanner:
+    """The tags of a page, each character looked at a bounded number of times.
 
-    def __init__(self, path: list[list[str]], text: str, linked: int) -> None:
-        self.path, self.text, self.linked = path, text, linked
+    A tag ends at the first ``>`` outside quotes. Where the quotes do not close, the ``<`` is text; what follows
+    a quote or a ``>`` is worked out once and remembered, however many ``<`` ask for it.
+    """
+
+    def __init__(self, html: str) -> None:
+        self.html, self.at, self.last = html, 0, html.rfind(">")
+        self.ends: dict[int, int] = {}
+
+    def tags(self):
+        """(start, closing, name, attributes) of each tag; name is None for comments and the like.
+
+        ``at`` is where the tag ends and the search goes on; who reads the tags may move it.
+        """
+        html = self.html
+        while (start := html.find("<", self.at)) >= 0:
+            self.at = start + 1
+            if html.startswith("<!--", start):
+                close = html.find("-->", start + 4)
+                self.at = close + 3 if close >= 0 else len(html)
+                yield start, False, None, ""
+                continue
+            closing = html.startswith("/", start + 1)
+            name = _NAME.match(html, start + 1 + closing)
+            end = self._end(name.end()) if name else -1
+            if end >= 0:
+                self.at = end + 1
+                yield start, closing, name[0].lower(), html[name.end() : end]
+            elif html[start + 1 : start + 2] in ("!", "?", "/") and start < self.last:
+                self.at = html.index(">", start) + 1
+                yield start, False, None, ""
+
+    def _end(self, at: int) -> int:
+        """The ``>`` that ends a tag whose attributes begin at ``at``, or -1."""
+        if at > self.last:
+            return -1
+        asked, found = [], -1
+        while (stop := _STOP.search(self.html, at)) is not None:
+            place = stop.start()
+            if place in self.ends:
+                found = self.ends[place]
+                break
+            asked.append(place)
+            if stop[0] == ">":
+                found = place
+                break
+            close = self.html.find(stop[0], place + 1)
+            if close < 0:
+                break
+            at = close + 1
+        for place in asked:
+            self.ends[place] = found
+        return found
 
 
 def _tokens(tag: str, attributes: str) -> list[str]:
@@ -82,10 +201,48 @@ def _tokens(tag: str, attributes: str) -> list[str]:
     return [tag, *_TOKEN.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", names).lower())]
 
 
+class _Open:
+    """The stack of open elements, with the places of each tag and of block elements at hand."""
+
+    def __init__(self) -> None:
+        self.tags: list[str] = []
+        self.paths: list[Path | None] = []
+        self.blocks: list[int] = []
+        self.places: dict[str, list[int]] = {}
+
+    @property
+    def path(self) -> Path | None:
+        return self.paths[-1] if self.paths else None
+
+    def push(self, tag: str, tokens: list[str]) -> None:
+        shown = tag in _BLOCKS or len(tokens) > 1
+        if tag in _BLOCKS:
+            self.blocks.append(len(self.tags))
+        self.places.setdefault(tag, []).append(len(self.tags))
+        self.paths.append(Path(self.path, tokens) if shown else self.path)
+        self.tags.append(tag)
+
+    def cut(self, size: int) -> None:
+        while len(self.tags) > size:
+            self.places[self.tags.pop()].pop()
+            self.paths.pop()
+        while self.blocks and self.blocks[-1] >= size:
+            self.blocks.pop()
+
+    def last(self, tag: str) -> int | None:
+        """Place of the innermost open element of this tag."""
+        places = self.places.get(tag)
+        return places[-1] if places else None
+
+    def holds_block(self, place: int) -> bool:
+        """Whether a block element is open inside the one at ``place``."""
+        return bool(self.blocks) and self.blocks[-1] > place
+
+
 def blocks_of(html: str) -> list[Block]:
     """Leaf blocks of a page in order, with white space collapsed and references decoded."""
     out: list[Block] = []
-    stack: list[tuple[str, list[str]]] = []
+    stack = _Open()
     held: list[str] = []
     linked = 0
 
@@ -93,8 +250,7 @@ def blocks_of(html: str) -> list[Block]:
         nonlocal held, linked
         text = " ".join("".join(held).split())
         if text:
-            path = [tokens for tag, tokens in stack if tag in _BLOCKS or len(tokens) > 1]
-            out.append(Block(path, text, linked))
+            out.append(Block(stack.path, text, linked))
         held, linked = [], 0
 
     def text(raw: str) -> None:
@@ -102,30 +258,26 @@ def blocks_of(html: str) -> list[Block]:
         if raw:
             raw = unescape(raw) if "&" in raw else raw
             held.append(raw)
-            if any(tag == "a" for tag, _ in stack[-4:]):
+            if "a" in stack.tags[-4:]:
                 linked += len(raw)
 
-    at = 0
-    while True:
-        found = _TAG.search(html, at)
-        if found is None:
-            text(html[at:])
-            break
-        text(html[at : found.start()])
-        at = found.end()
-        if found[2] is None:
+    at, scanner = 0, _Scanner(html)
+    for start, closing, tag, attributes in scanner.tags():
+        text(html[at:start])
+        at = scanner.at
+        if tag is None:
             continue
-        tag = found[2].lower()
-        if found[1]:
-            open_at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+        if closing:
+            place = stack.last(tag)
             if tag in _BLOCKS:
                 flush()
-            if open_at is not None:
-                if tag not in _BLOCKS and any(t in _BLOCKS for t, _ in stack[open_at + 1 :]):
+            if place is not None:
+                inner = stack.holds_block(place)
+                if inner and tag not in _BLOCKS:
                     continue  # an inline end tag does not close the blocks inside it
-                if any(t in _BLOCKS for t, _ in stack[open_at + 1 :]):
+                if inner:
                     flush()
-                del stack[open_at:]
+                stack.cut(place)
             continue
         if tag == "br":
             held.append(" ")
@@ -134,19 +286,16 @@ def blocks_of(html: str) -> list[Block]:
             flush()
             closes = ("p",) if tag in _CLOSES_P else ()
             closes += _SIBLINGS.get(tag, ())
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in closes:
-                    del stack[i:]
-                    break
-                if stack[i][0] in _BLOCKS:
-                    break
-        if tag in _VOID or (found[3] or "").endswith("/"):
+            if stack.blocks and stack.tags[stack.blocks[-1]] in closes:
+                stack.cut(stack.blocks[-1])
+        if tag in _VOID or attributes.endswith("/"):
             continue
         if tag in _RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
-            at = end.end() if end else len(html)
+            close = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
+            at = scanner.at = close.end() if close else len(html)
             continue
-        stack.append((tag, _tokens(tag, found[3])))
+        stack.push(tag, _tokens(tag, attributes))
+    text(html[at:])
     flush()
     return out
 
@@ -155,26 +304,14 @@ def _bucket(token: str, size: int) -> int:
     return zlib.crc32(token.encode()) % size
 
 
-def vectors(blocks: list[Block], memo: dict | None = None) -> np.ndarray:
+def vectors(blocks: list[Block]) -> np.ndarray:
     """One row of features for each block."""
     out = np.zeros((len(blocks), WIDTH), np.float32)
-    memo = {} if memo is None else memo
     for i, block in enumerate(blocks):
-        key = tuple(map(tuple, block.path))
-        if key not in memo:
-            row = np.zeros(len(KINDS) + PATHS, np.float32)
-            for tokens in block.path:
-                for token in tokens:
-                    kind = _KIND_OF.get(token, _KIND_OF.get(token.rstrip("s")))
-                    if kind is not None:
-                        row[kind] = 1
-                    row[len(KINDS) + _bucket(token, PATHS)] = 0.5
-            if len(memo) > 10_000:
-                memo.clear()
-            memo[key] = row
-        out[i, : len(KINDS) + PATHS] = memo[key]
+        if block.node is not None:
+            out[i, : len(KINDS) + PATHS] = block.node.row()
         words = block.text.split(" ")
-        n, leaf = len(words), block.path[-1][0] if block.path else ""
+        n, leaf = len(words), block.node.tokens[0] if block.node else ""
         at = len(KINDS) + PATHS
         out[i, at : at + 8] = (
             min(1.0, block.linked / len(block.text)),
@@ -311,8 +448,10 @@ def _padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 def weak_labels(blocks: list[Block]) -> np.ndarray | None:
     """Main text is what lies in ``article`` or ``main``, outside parts of another kind.
 
-    None if the page does not name its article.
+    None if the page does not name its article, or is nested too deeply to learn from.
     """
+    if any(block.node and block.node.depth > DEEPEST for block in blocks):
+        return None
     inside = np.zeros(len(blocks), bool)
     for i, block in enumerate(blocks):
         named = False
@@ -358,6 +497,15 @@ def varied(blocks: list[Block], labels: np.ndarray, rng) -> tuple[list[Block], n
     return [b for b, _ in parts], np.array([y for _, y in parts])
 
 
+_NAMED = frozenset("article main section nav header footer aside figure figcaption menu".split())
+
+
+def bare(blocks: list[Block]) -> list[Block]:
+    """The page without names: elements that tell their part become ``div``, class, id and role go."""
+    plain = lambda tokens: ["div" if tokens[0] in _NAMED else tokens[0]]
+    return [Block([plain(tokens) for tokens in b.path], b.text, b.linked) for b in blocks]
+
+
 def _choice(rng, values):
     return values[int(rng.integers(len(values)))]
 
@@ -383,7 +531,7 @@ def train(pages: list[str], epochs: int = 6, seed: int = 3) -> Model:
         examples.append((vectors(blocks), labels))
         for _ in range(variants):
             more, marks = varied(blocks, labels, rng)
-            examples.append((vectors(more), marks))
+            examples.append((vectors(bare(more) if rng.random() < BARE else more), marks))
     model = Model(seed)
     adam = Adam(model.weights, 0.01)
     for _ in range(epochs):
@@ -423,10 +571,9 @@ def extract(
     shared = pages.sparkSession.sparkContext.broadcast(model)
 
     def of(rows):
-        memo: dict = {}
         for start in range(0, len(rows), 256):
             part = [(r, blocks_of(r["html"])) for r in rows[start : start + 256]]
-            marks = shared.value.label([vectors(blocks, memo) for _, blocks in part])
+            marks = shared.value.label([vectors(blocks) for _, blocks in part])
             for (row, blocks), mark in zip(part, marks):
                 text = "\n\n".join(b.text for b, m in zip(blocks, mark) if m)
                 yield row["page_id"], row["url"], text, len(blocks), int(mark.sum())
