@@ -354,8 +354,11 @@ def test_classifiers_on_held_out_rows(spark, operator, label, modulus, held):
     labels = {r.doc_id: r[label] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
     assert all(r.held_out == (crc32(str(r.doc_id).encode()) % modulus == held) for r in rows)
-    mine = [(r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
-    assert np.mean([p == y for p, y in mine]) > 0.85
+    mine = np.array([(r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels])
+    # Some 40 toxic rows to learn from, 5 of the 14 held out without a word that any of them shares.
+    least, most = (0.95, 0.1) if operator is quality else (0.5, 0.05)
+    assert mine[mine[:, 1] == 1, 0].mean() >= least, "positives caught"
+    assert mine[mine[:, 1] == 0, 0].mean() <= most, "false alarms"
     none = spark.createDataFrame([], f"doc_id long, {label} int")
     docs = _docs(spark, [(1, None), (2, ""), (2, "")])
     model = operator.learned(docs, none, none.doc_id.isNotNull())
