@@ -1,8 +1,9 @@
-"""What the trained operators share: a bounded labelled sample, Adam, and thresholds.
+"""What the trained operators share: labelled rows, Adam, and thresholds.
 
-Only fitting uses a sample. Its bound (rows of each class) is a parameter of each operator; the
-rows are those with the smallest hash of their id, so the sample is the same on every run and does
-not depend on how the tables are split. Scoring covers every row.
+``labelled`` gives every labelled row. ``labelled_sample`` is for operators that fit on a sample: its bound
+(rows of each class) is a parameter of each operator; the rows are those with the smallest hash of
+their id, so the sample is the same on every run and does not depend on how the tables are split.
+Scoring covers every row.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import likely, stored
+
 
 def smallest(rows: DataFrame, order: list[Column], size: int, bound: int) -> DataFrame:
     """The ``bound`` rows of ``size`` that come first in the order of a hash.
@@ -24,6 +27,36 @@ def smallest(rows: DataFrame, order: list[Column], size: int, bound: int) -> Dat
     return rows.orderBy(*order).limit(bound)
 
 
+def _named(labels: DataFrame, label: str, learn: Column, doc_id: str) -> DataFrame:
+    """(doc_id, label) of the usable labels that ``learn`` admits, one row an id."""
+    return (
+        labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label"))
+        .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & learn)
+        .groupBy("doc_id")
+        .agg(F.max("label").alias("label"))
+    )
+
+
+def _texts(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return documents.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
+
+
+def labelled(
+    documents: DataFrame, labels: DataFrame, label: str, learn: Column, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """(doc_id, label, data) of every labelled document; odd rows as in ``labelled_sample``.
+
+    A bitmap of fixed size drops the texts without a label before anything is shuffled.
+    """
+    named = stored(_named(labels, label, learn, doc_id))
+    return (
+        likely(_texts(documents, doc_id, text), "doc_id", named)
+        .join(named, "doc_id")
+        .groupBy("doc_id")
+        .agg(F.max("label").alias("label"), F.min("text").cast("binary").alias("data"))
+    )
+
+
 def labelled_sample(
     documents: DataFrame,
     labels: DataFrame,
@@ -38,12 +71,7 @@ def labelled_sample(
     Labels other than 0 and 1 and null ids teach nothing; a document labelled both ways counts as
     1; of documents that share an id the smallest text is taken.
     """
-    named = (
-        labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label"))
-        .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & learn)
-        .groupBy("doc_id")
-        .agg(F.max("label").alias("label"))
-    )
+    named = _named(labels, label, learn, doc_id)
     sizes = {r.label: r.n for r in named.groupBy("label").agg(F.count("*").alias("n")).collect()}
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = None
@@ -53,7 +81,7 @@ def labelled_sample(
         chosen = part if chosen is None else chosen.unionAll(part)
     # At most 2 * bound ids and labels: their size is bounded whatever the tables hold.
     return (
-        documents.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
+        _texts(documents, doc_id, text)
         .join(F.broadcast(chosen), "doc_id")
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"), F.min("text").cast("binary").alias("data"))
@@ -108,6 +136,17 @@ def best_cut(logits: np.ndarray, labels: np.ndarray, share: float = 0.5) -> floa
     return float((edges[i] + edges[i + 1]) / 2)
 
 
+def best_cut_of_counts(values: np.ndarray, zeros: np.ndarray, ones: np.ndarray, share: float = 0.5) -> float:
+    """``best_cut`` where ``zeros`` and ``ones`` rows of each label lie at ``values`` (ascending, distinct)."""
+    missed = np.concatenate([[0], np.cumsum(ones)]) / max(1, ones.sum())
+    false = 1 - np.concatenate([[0], np.cumsum(zeros)]) / max(1, zeros.sum())
+    error = share * missed + (1 - share) * false
+    edges = np.concatenate([[values[0] - 1], values, [values[-1] + 1]])
+    best = np.flatnonzero(error <= error.min() + 1e-12)
+    i = best[np.argmax(edges[best + 1] - edges[best])]
+    return float((edges[i] + edges[i + 1]) / 2)
+
+
 def at_threshold(logits: np.ndarray, cuts: np.ndarray, threshold: float) -> np.ndarray:
     """Scores in (0, 1) in which each row's own cut falls on ``threshold``."""
     return sigmoid(logits - cuts + np.log(threshold / (1 - threshold)))
