@@ -133,6 +133,15 @@ def _buckets(words: np.ndarray) -> np.ndarray:
     return (words >> np.uint64(40)).astype(np.int64)
 
 
+def rows_among(among: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Places of a text's grams among the buckets, a line a word; at least as many lines as the widest filter needs."""
+    found = _buckets(grams)
+    at = np.minimum(np.searchsorted(among, found), len(among) - 1)
+    rows = np.where((among[at] == found) & (grams != 0), at, 0).T
+    short = max(WIDTHS) - len(rows)
+    return np.pad(rows, ((0, short), (0, 0))) if short > 0 else rows
+
+
 class Model:
     """Embeddings, filters and the logistic layer; row 0 of the embeddings is the null vector."""
 
@@ -152,11 +161,7 @@ class Model:
 
     def rows_of(self, grams: np.ndarray) -> np.ndarray:
         """Embedding rows, a line a word; at least as many lines as the widest filter needs."""
-        found = _buckets(grams)
-        at = np.minimum(np.searchsorted(self.buckets, found), len(self.buckets) - 1)
-        rows = np.where((self.buckets[at] == found) & (grams != 0), at, 0).T
-        short = max(WIDTHS) - len(rows)
-        return np.pad(rows, ((0, short), (0, 0))) if short > 0 else rows
+        return rows_among(self.buckets, grams)
 
     def features(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Maxima of all filters, and the positions that have them."""
@@ -319,12 +324,15 @@ class _Fit:
         of = (self.model.weights, self.adam.first, self.adam.second)
         return [arrays[k] for arrays in of for k in sorted(arrays)]
 
-    def state(self) -> np.ndarray:
-        return np.concatenate([a.ravel() for a in self._arrays()])
+    def state(self, moments: bool = True) -> np.ndarray:
+        """All weights, then Adam's moments."""
+        return np.concatenate([a.ravel() for a in self._arrays()[: None if moments else len(self.model.weights)]])
 
     def restore(self, state: np.ndarray, steps: int) -> None:
         at = 0
         for array in self._arrays():
+            if at == len(state):
+                break  # weights only
             array[...] = state[at : at + array.size].reshape(array.shape)
             at += array.size
         self.adam.steps = steps
@@ -394,17 +402,17 @@ def _short(rows: np.ndarray) -> np.ndarray:
     return rows[places - last <= max(WIDTHS)]
 
 
-def _dealt(texts: _Rows, model: Model, shards: int, seed: int) -> RDD:
+def _dealt(texts: _Rows, buckets: np.ndarray, shards: int, seed: int) -> RDD:
     """(label, part, language, rows of the embeddings) of every text, a partition a shard, in the order of a hash.
 
     An RDD, so that all rounds read the files of one shuffle.
     """
-    shared = texts.rows.sparkSession.sparkContext.broadcast(model)
+    shared = texts.rows.sparkSession.sparkContext.broadcast(buckets)
 
     def of(part):
         for row in part:
             grams = grams_of(row["data"])
-            rows = _short(shared.value.rows_of(grams)).astype(np.int32)
+            rows = _short(rows_among(shared.value, grams)).astype(np.int32)
             yield row["doc_id"], row["label"], row["part"], language_of(grams[0]), rows.tobytes()
 
     kind = texts.rows.schema["doc_id"].dataType.simpleString()
@@ -429,13 +437,21 @@ def _passes(rows: int) -> int:
     return max(1, -(-min(STEPS[1], max(STEPS[0], 6 * a_pass)) // a_pass))
 
 
-def _round(dealt: RDD, number: int, fits: list[_Fit], passes: list[int] | None) -> None:
-    """One round over all shards; the averages become the state of ``fits``. ``passes`` for one shard only."""
-    shared = dealt.context.broadcast(fits)
+def _round(dealt: RDD, number: int, fits: list[_Fit], passes: list[int] | None, last: bool = True) -> None:
+    """One round over all shards; the averages become the state of ``fits``. ``passes`` for one shard only.
+
+    Moments travel only where they are needed: not before the first step, and not after the last round.
+    """
+    context, buckets = dealt.context, fits[0].model.buckets
+    sent = [(fit.part, fit.balance, fit.state(fit.adam.steps > 0), fit.adam.steps) for fit in fits]
+    shared = context.broadcast((buckets, sent))
 
     def learn(shard, rows):
-        # The broadcast value stays as it was sent: tasks of one worker process share it.
-        mine, held = [_copy(fit) for fit in shared.value], []
+        buckets, sent = shared.value
+        mine, held = [], []
+        for part, balance, state, steps in sent:
+            mine.append(_Fit(Model(buckets[1:]), part, balance))
+            mine[-1].restore(state, steps)
         for row in rows:
             if passes is not None:
                 held.append((_lines(row), row.label, row.part))
@@ -449,7 +465,7 @@ def _round(dealt: RDD, number: int, fits: list[_Fit], passes: list[int] | None)
                     fit.take(*held[i])
                 fit.step()
             fit.step()
-            state = fit.state().astype(np.float32)
+            state = fit.state(not last).astype(np.float32)
             for block in range(0, len(state) if fit.seen else 0, _BLOCK):
                 yield (k, block), (shard, fit.seen, fit.adam.steps, state[block : block + _BLOCK].tobytes())
 
@@ -460,7 +476,7 @@ def _round(dealt: RDD, number: int, fits: list[_Fit], passes: list[int] | None)
     for k, blocks in averaged.items():
         state = b"".join(state for _, _, state in sorted(blocks))
         fits[k].restore(np.frombuffer(state, np.float32), max(steps for _, steps, _ in blocks))
-    shared.unpersist()
+    shared.destroy()
 
 
 def _mean(states) -> tuple[int, bytes]:
@@ -471,18 +487,9 @@ def _mean(states) -> tuple[int, bytes]:
     return max(steps for _, _, steps, _ in states), total.astype(np.float32).tobytes()
 
 
-def _copy(fit: _Fit) -> _Fit:
-    model = object.__new__(Model)
-    model.buckets, model.cuts = fit.model.buckets, fit.model.cuts
-    model.weights = {k: v.copy() for k, v in fit.model.weights.items()}
-    other = _Fit(model, fit.part, fit.balance)
-    other.restore(fit.state(), fit.adam.steps)
-    return other
-
-
 def _counted(dealt: RDD, fits: list[_Fit]) -> np.ndarray:
     """Rows by language, place of the logit on the grid, and label; each is scored by the model that did not see it."""
-    shared = dealt.context.broadcast([fit.model for fit in fits])
+    shared = dealt.context.broadcast([_bare(fit.model) for fit in fits])
     fold = {fit.part: k for k, fit in enumerate(fits)}
 
     def place(row):
@@ -492,9 +499,17 @@ def _counted(dealt: RDD, fits: list[_Fit]) -> np.ndarray:
     out = np.zeros((len(LANGUAGES), 2 * _ENDS * GRID + 1, 2), np.int64)
     for key, n in dealt.map(place).reduceByKey(operator.add).collect():
         out[key] = n
+    shared.destroy()
     return out
 
 
+def _bare(model: Model) -> Model:
+    """The weights alone, for rows whose embeddings are looked up already."""
+    bare = object.__new__(Model)
+    bare.weights = model.weights
+    return bare
+
+
 def train(sample: DataFrame, share: float = 0.5, seed: int = 7) -> Model | None:
     """Fit on all of (doc_id, label, data); thresholds come from cross-validation."""
     ship(sample.sparkSession)
@@ -505,12 +520,13 @@ def train(sample: DataFrame, share: float = 0.5, seed: int = 7) -> Model | None:
     buckets, own = admitted(texts, parts)
     fits = [_start(buckets, own[k], part, texts.seen(part), seed + 1 + part) for k, part in enumerate(parts)]
     model = fits[0].model
-    dealt = _dealt(texts, model, shards, seed)
+    dealt = _dealt(texts, model.buckets, shards, seed)
     if shards == 1:
         _round(dealt, seed, fits, [_passes(int(texts.seen(part).sum())) for part in parts])
     else:
-        for number in range(max(2, _passes(-(-int(texts.counts.sum()) // shards)))):
-            _round(dealt, seed + number, fits, None)
+        rounds = max(2, _passes(-(-int(texts.counts.sum()) // shards)))
+        for number in range(rounds):
+            _round(dealt, seed + number, fits, None, number + 1 == rounds)
     model.calibrate(_counted(dealt, fits), share)
     return model
 
