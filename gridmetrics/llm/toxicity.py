@@ -27,6 +27,7 @@ id and text are ignored.
 
 from __future__ import annotations
 
+import itertools
 import operator
 
 import numpy as np
@@ -403,7 +404,7 @@ def _short(rows: np.ndarray) -> np.ndarray:
 
 
 def _dealt(texts: _Rows, buckets: np.ndarray, shards: int, seed: int) -> RDD:
-    """(label, part, language, rows of the embeddings) of every text, a partition a shard, in the order of a hash.
+    """(label, part, language, rows of the embeddings, shard) of every text, shard by shard in the order of a hash.
 
     An RDD, so that all rounds read the files of one shuffle.
     """
@@ -417,8 +418,11 @@ def _dealt(texts: _Rows, buckets: np.ndarray, shards: int, seed: int) -> RDD:
 
     kind = texts.rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, label int, part int, language int, rows binary"
-    dealt = map_rows(texts.rows, schema, of, "data").repartition(shards, "doc_id")
-    return dealt.sortWithinPartitions(F.xxhash64("doc_id", F.lit(seed)), "doc_id").drop("doc_id").rdd
+    dealt = map_rows(texts.rows, schema, of, "data")
+    # The shard is a column: it does not hang on how many partitions there are.
+    dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(shards)).cast("int"))
+    dealt = dealt.repartition(shards, "shard")
+    return dealt.sortWithinPartitions("shard", F.xxhash64("doc_id", F.lit(seed)), "doc_id").drop("doc_id").rdd
 
 
 def _lines(row) -> np.ndarray:
@@ -446,7 +450,11 @@ def _round(dealt: RDD, number: int, fits: list[_Fit], passes: list[int] | None,
     sent = [(fit.part, fit.balance, fit.state(fit.adam.steps > 0), fit.adam.steps) for fit in fits]
     shared = context.broadcast((buckets, sent))
 
-    def learn(shard, rows):
+    def learn(rows):
+        for shard, mine in itertools.groupby(rows, lambda row: row.shard):
+            yield from of_shard(shard, mine)
+
+    def of_shard(shard, rows):
         buckets, sent = shared.value
         mine, held = [], []
         for part, balance, state, steps in sent:
@@ -471,7 +479,7 @@ def _round(dealt: RDD, number: int, fits: list[_Fit], passes: list[int] | None,
 
     # The weights and moments of the models, once: their size follows from the admitted buckets.
     averaged: dict[int, list] = {}
-    for (k, block), found in dealt.mapPartitionsWithIndex(learn).groupByKey().mapValues(_mean).collect():
+    for (k, block), found in dealt.mapPartitions(learn).groupByKey().mapValues(_mean).collect():
         averaged.setdefault(k, []).append((block, *found))
     for k, blocks in averaged.items():
         state = b"".join(state for _, _, state in sorted(blocks))
