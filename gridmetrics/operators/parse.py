@@ -88,24 +88,21 @@ def explode_series(files: DataFrame) -> DataFrame:
     )
 
 
-def is_aggregate(head: Column) -> Column:
+def is_aggregate(composite: Column, title: Column, kind: Column) -> Column:
     """Flag, title or type marks a known aggregate; no signal can veto another."""
-    title = json_values.normalized(json_values.text_or_null(head.title))
-    kind = json_values.normalized(json_values.text_or_null(head.type))
     return (
-        json_values.flag_is_true(head.composite)
-        | F.coalesce(title.isin(*AGGREGATE_TITLES), F.lit(False))
+        json_values.flag_is_true(composite)
+        | F.coalesce(json_values.normalized(title).isin(*AGGREGATE_TITLES), F.lit(False))
         | F.coalesce(kind.isin(*AGGREGATE_TYPES), F.lit(False))
     )
 
 
-def is_technology(head: Column) -> Column:
+def is_technology(kind: Column) -> Column:
     """Whether the series is typed as a real technology; never NULL."""
-    kind = json_values.normalized(json_values.text_or_null(head.type))
     return F.coalesce(kind.isin(*TECHNOLOGY_TYPES), F.lit(False))
 
 
-# An entry is typed in three steps. Each takes the previous step's struct, so that nothing is
+# An entry is typed in four steps. Each takes the previous step's struct, so that nothing is
 # evaluated twice and no generated method grows beyond what the JVM compiles.
 
 
@@ -119,13 +116,27 @@ def _fields(opened: Column) -> Column:
         opened["raw"].alias("raw"),
         json_values.json_type(moment).alias("moment_type"),
         F.try_variant_get(moment, "$", "string").alias("moment"),
-        dates.iso_text(json_values.text_or_null(moment)).alias("iso"),
         json_values.json_type(value).alias("value_type"),
         json_values.as_double(value).alias("number"),
-        F.try_variant_get(value, "$", "string").alias("value_text"),
+        value.alias("value"),
     )
 
 
+def _spelled(fields: Column) -> Column:
+    # Getting a text out of a variant is dear: each text once, and a value's only where a reason shows it.
+    plain = json_values.is_number_type(fields["value_type"]) & _finite(fields["number"])
+    value_text = F.when(~F.coalesce(plain, F.lit(False)), F.try_variant_get(fields["value"], "$", "string"))
+    return F.struct(
+        *[fields[name].alias(name) for name in ("raw", "moment_type", "moment", "value_type", "number")],
+        value_text.alias("value_text"),
+        dates.iso_text(F.when(fields["moment_type"] == "STRING", fields["moment"])).alias("iso"),
+    )
+
+
+def _finite(number: Column) -> Column:
+    return ~F.isnan(number) & (F.abs(number) < float("inf"))
+
+
 def _typed(fields: Column) -> Column:
     return F.struct(
         *[fields[name].alias(name) for name in ("raw", "moment_type", "moment", "value_type", "number", "value_text")],
@@ -137,7 +148,7 @@ def _typed(fields: Column) -> Column:
 def entry_problem(entry: Column) -> Column:
     """Why an entry cannot be typed, else NULL. The datetime is judged before the value."""
     shown = lambda text: F.coalesce(text, F.lit("null"))
-    finite = ~F.isnan(entry["number"]) & (F.abs(entry["number"]) < float("inf"))
+    finite = _finite(entry["number"])
     return (
         F.when(~F.coalesce(entry["raw"].startswith("{"), F.lit(False)), "entry is not an object")
         .when(entry["moment_type"].isNull(), "missing datetime")
@@ -157,6 +168,7 @@ def _explode_entries(series: DataFrame, kept: list[str]) -> DataFrame:
     exploded = series.select(*kept, _each("entries").alias("entry_pos", "text"))
     step = exploded.select(*kept, "entry_pos", _open(F.col("text")).alias("x"))
     step = step.select(*kept, "entry_pos", _fields(F.col("x")).alias("x"))
+    step = step.select(*kept, "entry_pos", _spelled(F.col("x")).alias("x"))
     step = step.select(*kept, "entry_pos", _typed(F.col("x")).alias("x"))
     return step.select(*kept, "entry_pos", "x", entry_problem(F.col("x")).alias("entry_problem"))
 
@@ -199,19 +211,21 @@ def demand_records(files: DataFrame) -> DataFrame:
 def generation_series(files: DataFrame) -> DataFrame:
     """Series with their triage: aggregate, technology or unknown."""
     head = F.col("head")
-    title = json_values.text_or_null(head.title)
-    return explode_series(files).withColumns(
+    # Texts first, each once: everything after reads the columns.
+    series = explode_series(files).withColumns(
+        {"technology": json_values.text_or_null(head.title), "type_text": json_values.text_or_null(head.type)}
+    )
+    title, kind = F.col("technology"), F.col("kind")
+    series = series.withColumn("kind", json_values.normalized(F.col("type_text")))
+    return series.withColumns(
         {
-            "technology": title,
-            "triage": F.when(is_aggregate(head), "aggregate")
-            .when(is_technology(head) & title.isNotNull(), "technology")
+            "triage": F.when(is_aggregate(head.composite, title, kind), "aggregate")
+            .when(is_technology(kind) & title.isNotNull(), "technology")
             .otherwise("unknown"),
             # The raw, un-normalised type decides: "renovable" is a technology, not renewable.
-            "is_renewable": F.coalesce(
-                json_values.text_or_null(head.type) == RENEWABLE_TYPE, F.lit(False)
-            ),
+            "is_renewable": F.coalesce(F.col("type_text") == RENEWABLE_TYPE, F.lit(False)),
         }
-    )
+    ).drop("type_text", "kind")
 
 
 def generation_records(files: DataFrame) -> DataFrame:

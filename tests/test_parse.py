@@ -371,3 +371,19 @@ def test_no_generated_method_is_too_long_to_be_compiled(spark, files):
             assert sizes and max(sizes) < 8000, (indicator, sizes)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_texts_are_taken_out_of_variants_once(spark):
+    files = spark.createDataFrame([("f", '{"included":[]}')], "file string, value string")
+    plan = parse.generation_records(files)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_variant_get(") <= 8, plan.count("try_variant_get(")
+
+
+def test_reasons_show_the_value(spark):
+    values = ["true", '"7"', "null", "1e400", "12.5", "[1]"]
+    entries = ",".join('{"value":%s,"datetime":"2024-01-01"}' % v for v in values)
+    text = '{"included":[{"attributes":{"title":"Eólica","type":"Renovable","values":[%s]}}]}' % entries
+    parsed = parse.parse(spark.createDataFrame([("f", text)], "file string, value string"), GENERATION)
+    assert [r.value for r in parsed.rows.collect()] == [12.5]
+    reasons = sorted(r.reason.split(": ", 1)[1] for r in parsed.quarantined.collect())
+    assert len(reasons) == 5 and "non-numeric value true" in reasons and "non-numeric value 7" in reasons
