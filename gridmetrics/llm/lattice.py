@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NON_SPACE, map_rows, remainder, ship, stored, table, text_bytes
+from .common import NON_SPACE, _arrow_schema, _batch, _steps, map_rows, remainder, ship, stored, table, text_bytes
 
 #: Most words that are broadcast.
 HEAD = 100_000
@@ -65,6 +65,7 @@ class Lattice:
         first = np.searchsorted(slot[order], np.arange(1 << bits))
         counts = np.bincount(slot, minlength=1 << bits)
         self.first, self.depth = np.where(counts > 0, first, 0), int(counts.max())
+        self.filled = counts > 0
         self.shift = np.uint64(64 - bits)
         # Pieces of one length are looked for only if the vocabulary has any.
         self.lengths = sorted({len(p) for p in pieces})
@@ -92,17 +93,21 @@ class Lattice:
             if length not in self.lengths:
                 continue
             mixed = self._mixed(code)
-            at = self.first[(mixed >> self.shift).astype(np.int64)]
+            # Most slots hold no piece, and what falls there is none.
+            slot = (mixed >> self.shift).astype(np.int64).ravel()
+            spots = np.flatnonzero(self.filled[slot])
+            at, mixed = self.first[slot[spots]], mixed.ravel()[spots]
             piece = np.full(at.shape, -1, np.int64)
             for step in range(self.depth):
                 place = np.minimum(at + step, len(self.codes) - 1)
                 hit = self.codes[place] == mixed
                 piece[hit] = self.ids[place[hit]]
-            row, start = np.nonzero(piece >= 0)
+            there = piece >= 0
+            row, start = np.divmod(spots[there], code.shape[1])
             rows.append(row)
             starts.append(start)
             ends.append(start + length)
-            found.append(piece[row, start])
+            found.append(piece[there])
         return tuple(np.concatenate(x) for x in (rows, starts, ends, found))
 
     def forward(self, letters: np.ndarray, arcs) -> np.ndarray:
@@ -111,7 +116,7 @@ class Lattice:
         alpha = np.full((n, width + 1), _LOWEST)
         alpha[:, 0] = 0
         rows, starts, ends, found = arcs
-        order = np.argsort(ends, kind="stable")
+        order = _order(ends, width)
         rows, starts, found = rows[order], starts[order], found[order]
         cuts = np.searchsorted(ends[order], np.arange(1, width + 2))
         for end in range(1, width + 1):
@@ -126,7 +131,7 @@ class Lattice:
         beta = np.full((n, width + 1), _LOWEST)
         beta[:, width] = 0
         rows, starts, ends, found = arcs
-        order = np.argsort(starts, kind="stable")
+        order = _order(starts, width)
         rows, ends, found = rows[order], ends[order], found[order]
         cuts = np.searchsorted(starts[order], np.arange(width + 1))
         for start in range(width - 1, -1, -1):
@@ -157,6 +162,11 @@ class Lattice:
         return out
 
 
+def _order(places: np.ndarray, width: int) -> np.ndarray:
+    """Stable order of places up to ``width``; short numbers are sorted by radix."""
+    return np.argsort(places.astype(np.uint16) if width < 1 << 16 else places, kind="stable")
+
+
 def _gathered(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     """Log of the sum of exponentials for each of n rows; every row has a value."""
     top = np.full(n, _LOWEST)
@@ -300,38 +310,49 @@ def score(
     base_of = lambda c: math.log10((c + 0.1) / (n + 0.1 * (v + 1)))
     end_row = (1, int(ends > 0), base_of(ends), math.log10(end or 1.0 / (n + 1)))
 
-    def of(rows):
+    kind = documents.schema[doc_id].dataType.simpleString()
+    schema = (
+        f"row_no long, word binary, times int, doc_id {kind}, tokens long, met long, base double, total double"
+    )
+    names, types = _arrow_schema(spark, schema)
+
+    def lines_of(batches):
         common = {w: (c, base_of(c), p) for w, (c, p) in known.value.items()}
-        for row in rows:
+        out = [[] for _ in names]
+        for row in (row for batch in batches for rows in _steps(batch, "data") for row in rows):
             tokens, met, base, total = end_row
-            rest = []
+            rest, often = [], []
             for word, times in Counter(words_of(row["data"])).items():
                 tokens += times
                 entry = common.get(word)
                 if entry is None:
-                    rest.append((word, times))
+                    rest.append(word)
+                    often.append(times)
                 else:
                     met += times
                     base += times * entry[1]
                     total += times * entry[2]
             # A blank cannot be in a word: the row's own line meets no word in the join.
             own = b" " + row["row_no"].to_bytes(8, "big")
-            yield row["row_no"], own, 0, row["doc_id"], tokens, met, base, total
-            for word, times in rest:
-                yield row["row_no"], word, times, None, 0, 0, 0.0, 0.0
-
-    kind = documents.schema[doc_id].dataType.simpleString()
-    lines = map_rows(
-        documents.select(
-            F.monotonically_increasing_id().alias("row_no"),
-            F.col(doc_id).alias("doc_id"),
-            text_bytes(text).alias("data"),
-        ),
-        f"row_no long, word binary, times int, doc_id {kind}, tokens long, met long, "
-        "base double, total double",
-        of,
-        "data",
-    )
+            n = len(rest)
+            for column, first, others in zip(
+                out,
+                (row["row_no"], own, 0, row["doc_id"], tokens, met, base, total),
+                ([row["row_no"]] * n, rest, often, [None] * n, [0] * n, [0] * n, [0.0] * n, [0.0] * n),
+            ):
+                column.append(first)
+                column.extend(others)
+            if len(out[0]) >= 20_000:
+                yield _batch(out, names, types)
+                out = [[] for _ in names]
+        if out[0]:
+            yield _batch(out, names, types)
+
+    lines = documents.select(
+        F.monotonically_increasing_id().alias("row_no"),
+        F.col(doc_id).alias("doc_id"),
+        text_bytes(text).alias("data"),
+    ).mapInArrow(lines_of, schema)
     tail = words.where(~is_head).select(
         "word",
         (F.col("c") > 0).cast("int").alias("seen"),

@@ -363,3 +363,21 @@ def test_classifiers_on_held_out_rows(spark, operator, label, modulus, held):
     docs = _docs(spark, [(1, None), (2, ""), (2, "")])
     model = operator.learned(docs, none, none.doc_id.isNotNull())
     assert model is None and operator.score(docs, model).count() == 3
+
+
+def test_order_of_lattice_places():
+    rng = np.random.default_rng(29)
+    for width in (9, 70_000):
+        places = rng.integers(0, width + 1, 5_000)
+        assert lattice._order(places, width).tolist() == np.argsort(places, kind="stable").tolist()
+
+
+def test_lattice_finds_every_piece_in_words(spark):
+    pieces = [bytes([c]) for c in range(256)] + [b" a", b"ab", b"aba", b"bab", b"abab", b" ba"]
+    found = lattice.Lattice(pieces, np.zeros(len(pieces)))
+    rows, starts, ends, piece = found.arcs(np.frombuffer(b" abab babaabba", np.uint8).reshape(2, -1))
+    got = sorted(zip(rows.tolist(), starts.tolist(), ends.tolist(), (pieces[p] for p in piece)))
+    texts = [b" abab b", b"abaabba"]
+    assert got == sorted(
+        (i, s, e, t[s:e]) for i, t in enumerate(texts) for s in range(7) for e in range(s + 1, 8) if t[s:e] in pieces
+    )
